@@ -306,3 +306,45 @@ SELECT {_sql_key('P')} AS client_id, ' ' || c_name AS last_name, n_name AS first
 FROM (SELECT c_custkey AS n, * FROM customer JOIN nation ON c_nationkey = n_nationkey) b
 WHERE {_sql_present(day)}"""
     raise ValueError(entity)
+
+
+# ------------------------------------------------------------------ raw drops
+def raw_transactions(spark, sf_dir) -> DataFrame:
+    """Transactions as a ';' drop carries them: all strings, some padded,
+    some amounts with a decimal comma. Helper columns: _day (drop file day),
+    _late (row arrives in the next day's file)."""
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    amt = F.col("value").cast("decimal(18,2)").cast("string")
+    return ev.select(
+        F.when(eid % 7 == 1, F.concat(F.lit(" t"), eid.cast("string"), F.lit(" ")))
+         .otherwise(_s("t", "event_id")).alias("transaction_id"),
+        F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
+        F.when(eid % 3 == 0, F.regexp_replace(amt, r"\.", ",")).otherwise(amt).alias("amount"),
+        F.when(eid % 5 == 2, F.concat(_s("C", "user_id"), F.lit("  "))).otherwise(_s("C", "user_id"))
+         .alias("card_num"),
+        F.col("event_type").alias("oper_type"),
+        F.when(F.col("event_type") == "error", "REJECT").otherwise("SUCCESS").alias("oper_result"),
+        F.concat(F.lit("T"), (eid % 10).cast("string")).alias("terminal"),
+        F.to_date("ts").alias("_day"),
+        (eid % 50 == 0).alias("_late"))
+
+
+def raw_blacklist(spark, sf_dir) -> DataFrame:
+    b = blacklist(spark, sf_dir)
+    return b.select(F.date_format("entry_dt", "yyyy-MM-dd HH:mm:ss").alias("date"),
+                    F.concat(F.col("passport_num"), F.lit(" ")).alias("passport"),
+                    F.to_date("entry_dt").alias("_day"))
+
+
+SQL_VIEWS["raw_tx"] = """
+SELECT CASE WHEN event_id % 7 = 1 THEN ' t' || event_id || ' ' ELSE 't' || event_id END AS transaction_id,
+       strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS transaction_date,
+       CASE WHEN event_id % 3 = 0 THEN replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
+            ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
+       CASE WHEN event_id % 5 = 2 THEN 'C' || user_id || '  ' ELSE 'C' || user_id END AS card_num,
+       event_type AS oper_type,
+       CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
+       'T' || (event_id % 10) AS terminal,
+       CAST(ts AS DATE) AS _day, event_id % 50 = 0 AS _late
+FROM events"""
