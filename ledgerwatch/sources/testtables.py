@@ -23,8 +23,19 @@ RUN_TS = ("2024-01-01 01:17:00", "2024-01-02 01:17:00", "2024-01-03 01:17:00")
 RUN_DAY = ("2024-01-01", "2024-01-02", "2024-01-03")
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's table; one resolved DataFrame per session and path
+    (the test files are immutable), so repeated views share one relation."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def _s(prefix: str, col: str):
