@@ -28,8 +28,8 @@ def discover(spark: SparkSession, folder: str, pattern: str, order: str = "date"
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     files = (listing.select("path", name.alias("file_name"))
                     .filter(F.col("file_name").rlike("^" + pattern))
-                    .withColumn("file_date", F.to_date(F.regexp_extract("file_name", r"_([0-9]{8})", 1),
-                                                       "ddMMyyyy")))
+                    .withColumn("file_date", F.try_to_date(F.regexp_extract("file_name", r"_([0-9]{8})", 1),
+                                                           "ddMMyyyy")))
     key = [F.col("file_date"), F.col("file_name")] if order == "date" else [F.col("file_name")]
     # One row per file: ordering the listing is bounded by the number of files.
     return files.withColumn("batch_no", F.row_number().over(Window.orderBy(*key)))
