@@ -132,8 +132,10 @@ def source_keys(spec: DimSpec, source: DataFrame, trim: bool = True) -> DataFram
     return source.select((clean_string(col) if trim else col).alias(spec.key))
 
 
-def stage_transactions(raw: DataFrame, wm) -> DataFrame:
-    """Raw ';' drop -> typed, trimmed, captured (> watermark) transactions."""
+def stage_transactions(raw: DataFrame, wm, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw ';' drop -> typed, trimmed, captured (> watermark) transactions.
+    ``keep`` names extra columns carried through unchanged (e.g. a batch id);
+    ``wm=None`` skips the capture filter."""
     typed = raw.select(
         clean_string("transaction_id").alias("trans_id"),
         parse_ts(F.trim("transaction_date")).alias("trans_date"),
@@ -141,15 +143,15 @@ def stage_transactions(raw: DataFrame, wm) -> DataFrame:
         clean_string("oper_type").alias("oper_type"),
         parse_amount("amount").alias("amt"),
         clean_string("oper_result").alias("oper_result"),
-        clean_string("terminal").alias("terminal"))
-    return capture_strict(typed, "trans_date", wm)
+        clean_string("terminal").alias("terminal"), *keep)
+    return typed if wm is None else capture_strict(typed, "trans_date", wm)
 
 
-def stage_blacklist(raw: DataFrame, wm) -> DataFrame:
+def stage_blacklist(raw: DataFrame, wm, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw blacklist rows -> (passport_num, entry_dt at day grain) above the watermark."""
     typed = raw.select(clean_string("passport").alias("passport_num"),
-                       parse_day(F.trim("date")).alias("entry_dt"))
-    return capture_strict(typed, "entry_dt", wm).select("passport_num", "entry_dt")
+                       parse_day(F.trim("date")).alias("entry_dt"), *keep)
+    return typed if wm is None else capture_strict(typed, "entry_dt", wm)
 
 
 def dim_spec(name: str) -> DimSpec:

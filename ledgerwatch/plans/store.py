@@ -129,10 +129,13 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     def read_append(self, table: str, schema) -> DataFrame:
+        """All committed batches of an append-only table, projected to
+        ``schema`` (partition columns are discovered from the folders)."""
         paths = self.manifest.get("batches", {}).get(table, [])
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
+        return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
     # watermarks
     def watermark(self, table: str) -> str | None:
