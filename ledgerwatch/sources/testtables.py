@@ -121,7 +121,7 @@ def blacklist(spark, sf_dir) -> DataFrame:
     first = c.filter(n % 8 == 3).select(_s("N", "c_custkey").alias("passport_num"),
                                         _day_plus("2024-01-10", n % 20).alias("entry_dt"))
     second = c.filter(n % 16 == 3).select(_s("N", "c_custkey").alias("passport_num"),
-                                          lit_ts("2024-01-15 00:00:00").alias("entry_dt"))
+                                          _day_plus("2024-01-15", n % 20).alias("entry_dt"))
     return first.unionByName(second)
 
 
@@ -254,7 +254,8 @@ SELECT 'N' || c_custkey AS passport_num,
        CAST(DATE '2024-01-10' + CAST(c_custkey % 20 AS INTEGER) AS TIMESTAMP) AS entry_dt
 FROM customer WHERE c_custkey % 8 = 3
 UNION ALL
-SELECT 'N' || c_custkey, TIMESTAMP '2024-01-15 00:00:00' FROM customer WHERE c_custkey % 16 = 3""",
+SELECT 'N' || c_custkey, CAST(DATE '2024-01-15' + CAST(c_custkey % 20 AS INTEGER) AS TIMESTAMP)
+FROM customer WHERE c_custkey % 16 = 3""",
 }
 
 
