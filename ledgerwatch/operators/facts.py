@@ -7,17 +7,20 @@ Several batches in order (one per dropped file) have a closed form: a row of
 batch b is kept iff its date is above max(wm0, max date of every earlier
 batch). Reason: a batch raises the watermark exactly to its own maximum
 whenever that maximum is above it, and never lowers it. So the replay is one
-aggregation per batch, a running max over the (few) batch rows, and a join
-back, instead of a loop of dependent jobs.
+aggregation per batch, a running max over the (few) batch values, and a
+filter against a per-batch threshold, instead of a loop of dependent jobs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions import epoch_ts, lit_ts
+from ledgerwatch.functions import lit_ts
 from ledgerwatch.operators.capture import capture_strict
+from ledgerwatch.schemas import EPOCH_TS
 
 
 def append(fact: DataFrame, staged: DataFrame) -> DataFrame:
@@ -32,16 +35,33 @@ def load_batch(fact: DataFrame, batch: DataFrame, date_col: str, wm):
     return append(fact, staged), staged, new_wm
 
 
-def replay_batches(rows: DataFrame, date_col: str, batch_col: str, wm0=None) -> DataFrame:
+def replay_batches(rows: DataFrame, date_col: str, batch_col: str, wm0=None,
+                   max_batches: int = 100_000) -> DataFrame:
     """T3: rows that a sequential per-batch load keeps (batches ordered by
     ``batch_col``), with the default watermark guard.
 
-    The running maximum is taken over one row per batch; only that tiny
-    frame is ordered globally, the rows themselves stay distributed.
+    One aggregation yields each batch's maximum (one value per dropped
+    file; the count is checked against ``max_batches``). The running maximum
+    over those few values becomes a literal batch -> threshold map, so the
+    rows themselves are only filtered where they sit: no join, no shuffle,
+    and a batch holding most of the rows is still spread over many tasks.
     """
-    start = epoch_ts() if wm0 is None else (lit_ts(wm0) if isinstance(wm0, str) else wm0)
-    per_batch = rows.groupBy(batch_col).agg(F.max(date_col).alias("_bmax"))
-    earlier = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
-    prior = per_batch.select(batch_col, F.max("_bmax").over(earlier).alias("_prior"))
-    bar = F.greatest(start, F.coalesce(F.col("_prior"), start))
-    return rows.join(prior, batch_col).filter(F.col(date_col) > bar).drop("_prior")
+    start = EPOCH_TS if wm0 is None else wm0
+    if not isinstance(start, str):
+        raise TypeError("wm0 must be a 'yyyy-MM-dd HH:mm:ss' string")
+    per_batch = (rows.groupBy(batch_col).agg(F.max(date_col).alias("_bmax"))
+                     .orderBy(batch_col).limit(max_batches + 1).collect())
+    if len(per_batch) > max_batches:
+        raise ValueError(f"more than {max_batches} batches in one replay")
+    bar = datetime.strptime(start, "%Y-%m-%d %H:%M:%S")
+    pairs = []
+    for r in per_batch:
+        if r[batch_col] is None:
+            continue
+        pairs += [F.lit(r[batch_col]), lit_ts(bar.strftime("%Y-%m-%d %H:%M:%S.%f"))]
+        if r["_bmax"] is not None and r["_bmax"] > bar:
+            bar = r["_bmax"]
+    if not pairs:
+        return rows.limit(0)
+    threshold = F.create_map(*pairs)[F.col(batch_col)]
+    return rows.filter(F.col(date_col) > threshold)
