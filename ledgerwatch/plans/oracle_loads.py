@@ -68,6 +68,8 @@ WHERE x.trans_date > {EPOCH}
       "CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS batch_no FROM (SELECT DISTINCT _day AS d FROM raw_tx) x",
     "archive_drop": sql_with("raw_tx")
     + "SELECT DISTINCT 'transactions_' || strftime(_day, '%d%m%Y') || '.txt.backup' AS file_name FROM raw_tx",
-    "src_table_scan": "SELECT c_custkey, c_name, c_mktsegment FROM customer "
-                      "WHERE c_acctbal > 0 AND c_custkey % 10 <> 9",
+    "src_workbook_drop": sql_with("bl", extra={"raw_bl": RAW_BL})
+    + "SELECT date, passport, 'passport_blacklist_' || strftime(_day, '%d%m%Y') || '.xlsx' AS source_file "
+      "FROM raw_bl",
+    "src_table_scan": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal > 0",
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions import lit_ts
 from ledgerwatch.operators import capture, facts
 from ledgerwatch.plans.queries import query
-from ledgerwatch.schemas import (PATTERN_TRANSACTIONS, RAW_BLACKLIST_COLUMNS,
+from ledgerwatch.schemas import (PATTERN_BLACKLIST, PATTERN_TRANSACTIONS, RAW_BLACKLIST_COLUMNS,
                                  RAW_TRANSACTION_COLUMNS, WAREHOUSE_DB)
 from ledgerwatch.session import scratch_dir
 from ledgerwatch.sources import files, tables
@@ -139,12 +139,22 @@ def q_archive_drop(spark, sf_dir):
     return listing.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"))
 
 
+@query("src_workbook_drop")
+def q_src_workbook_drop(spark, sf_dir):
+    """S2: blacklist drops as one workbook per day, scanned back in parallel."""
+    folder = scratch_dir(spark, "drop-xlsx")
+    raw = tt.raw_blacklist(spark, sf_dir)
+    files.write_workbook_drops(raw, folder, "_day", "passport_blacklist", RAW_BLACKLIST_COLUMNS)
+    paths = [r.path for r in files.discover(spark, folder, PATTERN_BLACKLIST).select("path").collect()]
+    return files.read_workbooks(spark, paths, RAW_BLACKLIST_COLUMNS)
+
+
 @query("src_table_scan")
 def q_src_table_scan(spark, sf_dir):
     """S4: a source table read with projection and a pushed-down predicate."""
     return tables.read_table(spark, "parquet", f"{sf_dir.rstrip('/')}/customer.parquet",
                              columns=["c_custkey", "c_name", "c_mktsegment"],
-                             predicate="c_acctbal > 0 AND c_custkey % 10 <> 9")
+                             predicate="c_acctbal > 0")
 
 
 _unused = WAREHOUSE_DB

@@ -192,3 +192,27 @@ def write_workbook(rows: list[list], header: list[str]) -> bytes:
         z.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"/>')
         z.writestr("xl/worksheets/sheet1.xml", sheet)
     return buf.getvalue()
+
+
+def write_workbook_drops(df: DataFrame, folder: str, day_col: str, prefix: str,
+                         columns: tuple[str, ...]) -> None:
+    """Write one '<prefix>_DDMMYYYY.xlsx' per day (test/demo producer). Each
+    day's workbook is written inside a task (``applyInPandas``); only a
+    one-row status per file returns to the driver."""
+    import pyarrow.fs as pafs
+
+    root = folder.rstrip("/")
+    local = root[len("file:"):] if root.startswith("file:") else root
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        fs, base = pafs.FileSystem.from_uri(local if local.startswith("/") else root)
+        day = pdf["_d"].iloc[0]
+        path = f"{base}/{prefix}_{day}.xlsx"
+        rows = pdf[list(columns)].astype(object).where(pdf[list(columns)].notna(), None).values.tolist()
+        with fs.open_output_stream(path) as out:
+            out.write(write_workbook(rows, list(columns)))
+        return pd.DataFrame({"file": [path], "rows": [len(rows)]})
+
+    (df.select(F.date_format(day_col, "ddMMyyyy").alias("_d"), *columns)
+       .groupBy("_d").applyInPandas(write, "file string, rows long")
+       .collect())
