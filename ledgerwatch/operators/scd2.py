@@ -202,30 +202,54 @@ def _null_key_inserts(spec: DimSpec, staged: DataFrame, run_ts: str) -> DataFram
                           lit_ts(run_ts).alias("effective_from"), end_ts().alias("effective_to")))
 
 
+def _pick(*parts: tuple[str, str]) -> Column:
+    """explode() of the non-NULL structs among (condition column, struct column)."""
+    arr = F.array(*[F.when(F.col(cond), F.col(val)) for cond, val in parts])
+    return F.explode(F.filter(arr, lambda x: x.isNotNull()))
+
+
 def merge_history(spec: DimSpec, hist: DataFrame, staged: DataFrame, keys: DataFrame,
                   run_ts: str, revive_unchanged: bool = False) -> DataFrame:
-    """D7 in one plan over a full history (assumes at most one open row per key)."""
+    """D7 in one plan over a full history (assumes at most one open row per key).
+
+    Untouched rows stream through a filter; the merge frame is evaluated
+    once and yields the updated open row and the new version of each key
+    from the same row."""
     k = spec.key
     lat = latest_versions(spec, hist, keep_ties=False)
     m = _merge_frame(spec, lat, staged, keys, run_ts, revive_unchanged)
     untouched = hist.filter(~is_open() | F.col(k).isNull()).select(*spec.history_columns)
-    opened = m.filter("_t_open").select("_t_new.*")
-    inserted = m.filter("_insert").select("_s_new.*")
-    return (untouched.unionByName(opened).unionByName(inserted)
+    changed_rows = (m.select(_pick(("_t_open", "_t_new"), ("_insert", "_s_new")).alias("_v"))
+                     .select("_v.*"))
+    return (untouched.unionByName(changed_rows)
                      .unionByName(_null_key_inserts(spec, staged, run_ts)))
 
 
 def merge_latest(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: DataFrame,
                  run_ts: str, revive_unchanged: bool = False) -> tuple[DataFrame, DataFrame]:
-    """D7 over the latest table. Returns (new latest, retired versions)."""
-    k = spec.key
+    """D7 over the latest table. Returns (new latest, retired versions).
+
+    Both outputs come from one merge frame; callers that write both should
+    persist it (``merge_latest_frame``) so the join runs once."""
+    m = merge_latest_frame(spec, latest, staged, keys, run_ts, revive_unchanged)
+    return split_latest(spec, m, latest, staged, run_ts)
+
+
+def merge_latest_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: DataFrame,
+                       run_ts: str, revive_unchanged: bool = False) -> DataFrame:
     m = _merge_frame(spec, latest, staged, keys, run_ts, revive_unchanged)
-    new_latest = (m.filter(F.col("_has_t") | F.col("_insert"))
-                   .select(F.when(F.col("_insert"), F.col("_s_new")).otherwise(F.col("_t_new")).alias("_v"))
-                   .select("_v.*")
+    return m.select(F.when(F.col("_insert"), F.col("_s_new")).otherwise(F.col("_t_new")).alias("_latest"),
+                    F.when(F.col("_insert") & F.col("_has_t"), F.col("_t_new")).alias("_retired"),
+                    (F.col("_has_t") | F.col("_insert")).alias("_keep"))
+
+
+def split_latest(spec: DimSpec, m: DataFrame, latest: DataFrame, staged: DataFrame,
+                 run_ts: str) -> tuple[DataFrame, DataFrame]:
+    k = spec.key
+    new_latest = (m.filter("_keep").select("_latest.*")
                    .unionByName(latest.filter(F.col(k).isNull()).select(*spec.history_columns))
                    .unionByName(_null_key_inserts(spec, staged, run_ts)))
-    retired = m.filter(F.col("_insert") & F.col("_has_t")).select("_t_new.*")
+    retired = m.filter(F.col("_retired").isNotNull()).select("_retired.*")
     return new_latest, retired
 
 

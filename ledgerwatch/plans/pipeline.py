@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,9 +76,14 @@ def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str,
     wm = wh.watermark(f"dim_{entity}_hist") or EPOCH_TS
     staged = capture.stage_dimension(spec, source, wm, run_ts)
     keys = capture.source_keys(spec, source, trim=not cfg.compat_untrimmed_keys)
-    new_latest, retired = scd2.merge_latest(spec, latest, staged, keys, run_ts, cfg.revive_unchanged)
+    # The merge frame (one row per key) feeds two tables: persist it so the
+    # join runs once; lost blocks are recomputed from lineage.
+    m = scd2.merge_latest_frame(spec, latest, staged, keys, run_ts, cfg.revive_unchanged)
+    m = m.persist(StorageLevel.MEMORY_AND_DISK)
+    new_latest, retired = scd2.split_latest(spec, m, latest, staged, run_ts)
     written = wh.stage(f"dim_{entity}_latest", new_latest)
     wh.append(f"dim_{entity}_archive", retired)
+    m.unpersist()
     mx = written.agg(F.max("effective_from").alias("m")).first().m
     wh.set_watermark(f"dim_{entity}_hist", mx.strftime(FMT) if mx else None)
 
