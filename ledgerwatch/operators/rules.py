@@ -14,8 +14,11 @@ Plan shape, chosen for scale:
   report multiplicity is that count times the card's person fan-out |P|.
   Windows run per (card, hour bucket) over pre-aggregated cells, so a hot
   card is split by time and a hot second collapses to one cell per city.
-* The report is one pass over ``R ⟕ P``: each row explodes into the alerts it
-  raises, repeated by multiplicity in bounded chunks.
+* The report needs only (time, person), so it runs on cells: the facts are
+  aggregated to (card, second, city, n_rows) once, the cells carry the rule-3
+  partner counts and join the profile P once, and each (cell, person) row
+  explodes into the alerts it raises, repeated by multiplicity in bounded
+  chunks. The fact table is scanned once and never joined back.
 
 No side is broadcast by hint: AQE converts a join to broadcast only when the
 measured side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and
@@ -179,19 +182,34 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
               .drop("_chunk", "_i"))
 
 
-def _rule3_frame(inp: dict) -> DataFrame:
+def _cell_frame(inp: dict, pairs_only: bool) -> DataFrame:
+    """Cells with partner counts joined to the card profile.
+
+    The report needs only (event time, person), so nothing below the cell
+    level is kept: a cell's n_rows facts share time, card and city, and each
+    (cell, person row) stands for n_rows enriched rows. ``pairs_only`` drops
+    cells without partners before the profile join (rule-3-only queries).
+    """
     r, p = _inputs(inp)
-    counts = city_pair_counts(r).select("card_num", "trans_date", "terminal_city",
-                                        "later_partners", "earlier_partners")
-    r_ab = r.join(counts, ["card_num", "trans_date", "terminal_city"], "left")
+    cells = city_pair_counts(r)
+    if pairs_only:
+        cells = cells.filter((F.col("later_partners") > 0) | (F.col("earlier_partners") > 0))
     p_n = p.join(profile_fanout(p), "card_num", "inner")
-    e = r_ab.join(p_n, "card_num", "left")
+    e = cells.join(p_n, "card_num", "left")
     return (e.withColumn("person_rows", F.coalesce("person_rows", F.lit(1)).cast("long"))
-             .withColumn("later_partners", F.coalesce("later_partners", F.lit(0)))
-             .withColumn("earlier_partners", F.coalesce("earlier_partners", F.lit(0)))
              .withColumn("fio", F.coalesce("fio", full_name(F.lit(None), F.lit(None), F.lit(None)))))
 
 
+def _rule3_multiplicities(side: str) -> list[Column]:
+    rows = F.col("n_rows") * F.col("person_rows")
+    parts = []
+    if side in ("earlier", "both"):
+        parts.append(F.when(F.col("later_partners") > 0, rows * F.col("later_partners")))
+    if side in ("later", "both"):
+        parts.append(F.when(F.col("earlier_partners") > 0, rows * F.col("earlier_partners")))
+    return parts
+
+
 def rule3(inp: dict, report_ts: str, side: str = "both") -> DataFrame:
     """Card used in two different cities within one hour.
 
@@ -200,13 +218,8 @@ def rule3(inp: dict, report_ts: str, side: str = "both") -> DataFrame:
     event's, which are the same multiset since both share the card);
     'both': union of the two.
     """
-    e = _rule3_frame(inp)
-    parts = []
-    if side in ("earlier", "both"):
-        parts.append(F.when(F.col("later_partners") > 0, F.col("person_rows") * F.col("later_partners")))
-    if side in ("later", "both"):
-        parts.append(F.when(F.col("earlier_partners") > 0, F.col("person_rows") * F.col("earlier_partners")))
-    m = F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull()))
+    e = _cell_frame(inp, pairs_only=True)
+    m = F.explode(F.filter(F.array(*_rule3_multiplicities(side)), lambda x: x.isNotNull()))
     rows = e.select("trans_date", "passport", "fio", "phone", m.alias("_m"))
     return _report(repeat_rows(rows, "_m"), EVENT_TWO_CITIES_ONE_HOUR, report_ts)
 
@@ -220,25 +233,25 @@ def rule3_pairs(inp: dict) -> DataFrame:
 
 # ------------------------------------------------------------------- report
 def fraud_report(inp: dict, report_ts: str) -> DataFrame:
-    """All three rules in one pass over facts ⟕ dimensions.
+    """All three rules in one pass over cells ⟕ card profile.
 
-    Every enriched row explodes into the alerts it raises: rule 1 and rule 2
-    once each, rule 3 by its partner multiplicity (as earlier and as later
-    event). No dedupe: the output is the same bag as appending the rules one
-    after another.
+    Every (cell, person) row explodes into the alerts it raises: rules 1
+    and 2 once per fact in the cell, rule 3 by its partner multiplicity (as
+    earlier and as later event). No dedupe: the output is the same bag as
+    appending the rules one after another.
     """
-    e = _rule3_frame(inp)
+    e = _cell_frame(inp, pairs_only=False)
+    once = F.col("n_rows").cast("long")
+    r3 = _rule3_multiplicities("both")
+
+    def alert(kind, mult):
+        return F.struct(F.lit(kind).alias("t"), mult.alias("m"))
+
     alerts = F.filter(F.array(
-        F.when(blocked() | expired(), F.struct(F.lit(EVENT_BLOCKED_OR_EXPIRED_PASSPORT).alias("t"),
-                                               F.lit(1).cast("long").alias("m"))),
-        F.when(contract_invalid(), F.struct(F.lit(EVENT_INVALID_CONTRACT).alias("t"),
-                                            F.lit(1).cast("long").alias("m"))),
-        F.when(F.col("later_partners") > 0,
-               F.struct(F.lit(EVENT_TWO_CITIES_ONE_HOUR).alias("t"),
-                        (F.col("person_rows") * F.col("later_partners")).alias("m"))),
-        F.when(F.col("earlier_partners") > 0,
-               F.struct(F.lit(EVENT_TWO_CITIES_ONE_HOUR).alias("t"),
-                        (F.col("person_rows") * F.col("earlier_partners")).alias("m")))),
+        F.when(blocked() | expired(), alert(EVENT_BLOCKED_OR_EXPIRED_PASSPORT, once)),
+        F.when(contract_invalid(), alert(EVENT_INVALID_CONTRACT, once)),
+        F.when(r3[0].isNotNull(), alert(EVENT_TWO_CITIES_ONE_HOUR, r3[0])),
+        F.when(r3[1].isNotNull(), alert(EVENT_TWO_CITIES_ONE_HOUR, r3[1]))),
         lambda x: x.isNotNull())
     rows = (e.select("trans_date", "passport", "fio", "phone", F.explode(alerts).alias("_a"))
               .select("trans_date", "passport", "fio", "phone",

@@ -26,7 +26,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     and push filters."""
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # --------------------------------------------------------------- filesystem

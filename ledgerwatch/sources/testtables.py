@@ -126,6 +126,15 @@ def blacklist(spark, sf_dir) -> DataFrame:
 
 
 def rule_inputs(spark, sf_dir) -> dict[str, DataFrame]:
+    """The six rule inputs; built once per session and folder (lazy plans
+    are immutable, so sharing them is safe)."""
+    key = (id(spark), spark.sparkContext.applicationId, "rule_inputs", sf_dir.rstrip("/"))
+    if key not in _READS:
+        _READS[key] = _rule_inputs(spark, sf_dir)
+    return dict(_READS[key])
+
+
+def _rule_inputs(spark, sf_dir) -> dict[str, DataFrame]:
     return {"transactions": transactions(spark, sf_dir),
             "terminals": terminals_hist(spark, sf_dir),
             "cards": cards_hist(spark, sf_dir),
