@@ -148,21 +148,29 @@ def _merge_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: Data
                  run_ts: str, revive_unchanged: bool) -> DataFrame:
     """One row per non-NULL key seen in the latest table or the batch.
 
-    S and K are aggregated by key (duplicate staged keys raise), then joined
-    to the latest rows on that key; the aggregations leave every side
-    hash-partitioned on the key, so the joins add no further shuffle.
+    S and K are aggregated together by key (duplicate staged keys raise),
+    then full-joined to the latest rows on that key; the aggregation leaves
+    its side hash-partitioned on the key, so the join adds no shuffle there.
     """
     k = spec.key
     hist_cols = spec.history_columns
     t = latest.filter(F.col(k).isNotNull()).select(k, F.struct(*hist_cols).alias("_t"))
-    s = (staged.filter(F.col(k).isNotNull())
-               .groupBy(k)
-               .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*spec.business)).alias("_s"))
-               .select(k, F.when(F.col("_n") > 1,
-                                 F.raise_error(F.concat(F.lit(f"duplicate staged {k}: "), F.col(k))))
-                        .otherwise(F.col("_s")).alias("_s")))
-    present = keys.filter(F.col(k).isNotNull()).groupBy(k).agg(F.lit(True).alias("_present"))
-    j = t.join(s, k, "full").join(present, k, "left")
+    # Staged rows and source keys go through ONE aggregation by key: count of
+    # staged rows (duplicates raise), the staged row, and key presence.
+    s_struct = F.struct(*spec.business)
+    sk = (staged.filter(F.col(k).isNotNull())
+                .select(k, s_struct.alias("_row"), F.lit(False).alias("_is_key"))
+                .unionByName(keys.filter(F.col(k).isNotNull())
+                                 .select(k, F.lit(None).cast(s_struct_type(spec, staged)).alias("_row"),
+                                         F.lit(True).alias("_is_key"))))
+    s = (sk.groupBy(k)
+           .agg(F.count("_row").alias("_n"), F.first("_row", ignorenulls=True).alias("_s"),
+                F.max("_is_key").alias("_present"))
+           .select(k, F.when(F.col("_n") > 1,
+                             F.raise_error(F.concat(F.lit(f"duplicate staged {k}: "), F.col(k))))
+                    .otherwise(F.col("_s")).alias("_s"),
+                   F.when(F.col("_present"), F.lit(True)).alias("_present")))
+    j = t.join(s, k, "full")
 
     has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
     t_open = has_t & is_open("_t.")
@@ -188,6 +196,11 @@ def _merge_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: Data
                     t_new.alias("_t_new"), s_new.alias("_s_new"))
 
 
+def s_struct_type(spec: DimSpec, staged: DataFrame):
+    """Type of struct(business columns) as staged."""
+    return staged.select(F.struct(*spec.business).alias("x")).schema["x"].dataType
+
+
 def _differs(spec: DimSpec) -> Column:
     parts = [~F.col(f"_s.{c}").eqNullSafe(F.col(f"_t.{c}")) for c in spec.tracked]
     out = parts[0]
