@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerwatch.functions import full_name
 from ledgerwatch.operators import rules
@@ -80,36 +79,12 @@ def q_fn_full_name(spark, sf_dir):
 
 
 def oracle() -> dict[str, str]:
+    from ledgerwatch.plans.oracle_loads import LOAD_SQL
     from ledgerwatch.plans.oracle_rules import RULE_SQL
-    out = dict(RULE_SQL)
-    for mod in _oracle_modules():
-        out.update(mod)
+    from ledgerwatch.plans.oracle_scd2 import SCD2_SQL
+    out = {**RULE_SQL, **SCD2_SQL, **LOAD_SQL}
     return {k: v for k, v in out.items() if k in REGISTRY}
 
 
-def _oracle_modules():
-    mods = []
-    try:
-        from ledgerwatch.plans.oracle_scd2 import SCD2_SQL
-        mods.append(SCD2_SQL)
-    except ImportError:
-        pass
-    try:
-        from ledgerwatch.plans.oracle_loads import LOAD_SQL
-        mods.append(LOAD_SQL)
-    except ImportError:
-        pass
-    return mods
-
-
-def _register_more():
-    # Other query families register themselves on import.
-    for name in ("ledgerwatch.plans.queries_scd2", "ledgerwatch.plans.queries_loads"):
-        try:
-            __import__(name)
-        except ImportError:
-            pass
-
-
-_register_more()
-_unused = F  # keep the functions module import for query modules that extend this one
+# The other query families register themselves on import.
+from ledgerwatch.plans import queries_loads, queries_scd2  # noqa: E402,F401

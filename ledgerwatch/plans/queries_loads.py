@@ -8,7 +8,7 @@ from ledgerwatch.functions import lit_ts
 from ledgerwatch.operators import capture, facts
 from ledgerwatch.plans.queries import query
 from ledgerwatch.schemas import (PATTERN_BLACKLIST, PATTERN_TRANSACTIONS, RAW_BLACKLIST_COLUMNS,
-                                 RAW_TRANSACTION_COLUMNS, WAREHOUSE_DB)
+                                 RAW_TRANSACTION_COLUMNS)
 from ledgerwatch.session import scratch_dir
 from ledgerwatch.sources import files, tables
 from ledgerwatch.sources import testtables as tt
@@ -156,5 +156,3 @@ def q_src_table_scan(spark, sf_dir):
                              columns=["c_custkey", "c_name", "c_mktsegment"],
                              predicate="c_acctbal > 0")
 
-
-_unused = WAREHOUSE_DB

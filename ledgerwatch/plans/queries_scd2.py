@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions import end_ts, epoch_ts, lit_ts, minus_one_second
+from ledgerwatch.functions import epoch_ts
 from ledgerwatch.operators import capture, scd2
 from ledgerwatch.plans.queries import query
 from ledgerwatch.plans.store import materialize
@@ -164,5 +164,3 @@ def q_wm_advance_dim(spark, sf_dir):
         wm = capture.advance_watermark(wm, f"dim_{e}_hist", scd2.history_watermark(h))
     return wm.filter(F.col("table_name").startswith("dim_") & (F.col("table_db") == WAREHOUSE_DB))
 
-
-_unused = (end_ts, lit_ts, minus_one_second)

@@ -154,3 +154,30 @@ def test_single_pass_equals_statement_sequence(spark, snapshots):
     expected = run_model(snapshots)
     assert run_spark(spark, snapshots, "single") == expected
     assert run_spark(spark, snapshots, "latest") == expected
+
+
+def test_untrimmed_delete_keys_compat(spark):
+    """Quirk 2: with the original untrimmed key list, a padded source key is
+    inserted (trimmed) and deleted in the same run; trimming both sides
+    (default) keeps it open."""
+    from ledgerwatch.operators import capture
+    from ledgerwatch.schemas import CARDS
+    src = spark.createDataFrame([(" C1 ", "A1", None, None)],
+                                "card_num string, account string, create_dt timestamp_ntz, "
+                                "update_dt timestamp_ntz")
+    staged = capture.stage_dimension(CARDS, src, "1900-01-01 00:00:00", "2024-01-01 01:17:00")
+    hist = scd2.empty_history(spark, CARDS)
+    fixed = scd2.merge_history(CARDS, hist, staged, capture.source_keys(CARDS, src),
+                               "2024-01-01 01:17:00").collect()
+    assert [(r.card_num, r.deleted_flg, r.effective_to) for r in fixed] == [("C1", "n", END)]
+    compat = scd2.merge_history(CARDS, hist, staged, capture.source_keys(CARDS, src, trim=False),
+                                "2024-01-01 01:17:00").collect()
+    (r,) = compat
+    assert r.card_num == "C1" and r.deleted_flg == "y" and r.effective_to < r.effective_from
+
+
+def test_batch_clock_strictly_increases():
+    from ledgerwatch.plans.pipeline import Clock
+    c = Clock("2024-01-01 23:59:59")
+    assert [c.next() for _ in range(3)] == ["2024-01-01 23:59:59", "2024-01-02 00:00:00",
+                                            "2024-01-02 00:00:01"]
