@@ -73,6 +73,16 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """True when a written folder holds at least one Parquet file (metadata only)."""
+    fs, p, _ = _fs(spark, path)
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        if it.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p, jvm = _fs(spark, src)
     d = jvm.org.apache.hadoop.fs.Path(dst)
@@ -112,7 +122,7 @@ class Warehouse:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         self._pending[table] = v
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(out.schema).parquet(path)
 
     def append(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Append-only tables keep one folder and add files: old files are
@@ -123,10 +133,11 @@ class Warehouse:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        batches = list(self.manifest.setdefault("batches", {}).get(table, []))
-        batches.append(path)
-        self.manifest["batches"][table] = batches
-        return self.spark.read.parquet(path)
+        if has_data_files(self.spark, path):
+            batches = list(self.manifest.setdefault("batches", {}).get(table, []))
+            batches.append(path)
+            self.manifest["batches"][table] = batches
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def read_append(self, table: str, schema) -> DataFrame:
         """All committed batches of an append-only table, projected to
@@ -145,6 +156,13 @@ class Warehouse:
         if value is not None:
             self.manifest["watermarks"][table] = value
 
+    def reset(self) -> None:
+        """Empty every table and set watermarks back to the epoch by
+        publishing an empty manifest; old files stay but are unreachable."""
+        self.manifest = {"tables": {}, "watermarks": {}, "batches": {}, "run": self.manifest.get("run", 0)}
+        self._pending = {}
+        self.publish()
+
     def publish(self) -> None:
         self.manifest["tables"].update(self._pending)
         self.manifest["run"] = self.manifest.get("run", 0) + 1

@@ -86,3 +86,22 @@ def test_two_daily_runs(spark):
     # the report re-emits the whole history each run, now with two client versions
     assert rep.filter(F.col("report_dt") == F.lit(out2["report_ts"]).cast("timestamp_ntz")).count() > len(rep1)
     assert rep.count() > len(rep1)
+
+
+def test_cli_run_and_reset(spark, tmp_path):
+    from ledgerwatch.__main__ import main
+    drop = tmp_path / "drops"
+    drop.mkdir()
+    _drop(str(drop), "transactions_01012024.txt", _tx_file([
+        ("t1", "2024-01-01 10:00:00", "1", "C1", "pay", "SUCCESS", "T1")]))
+    src = tmp_path / "accounts"
+    _sources(spark)["accounts"].write.parquet(str(src))
+    wh = "file:" + str(tmp_path / "wh")
+    main(["run", "--warehouse", wh, "--drop-dir", str(drop), "--run-ts", "2024-01-02 01:17:00",
+          "--source", f"accounts=parquet:{src}"])
+    w = Warehouse(spark, wh)
+    assert w.watermark("fact_transactions") == "2024-01-01 10:00:00"
+    assert w.read("dim_accounts_latest").count() == 1
+    main(["reset", "--warehouse", wh])
+    w = Warehouse(spark, wh)
+    assert w.watermark("fact_transactions") is None and w.read("dim_accounts_latest") is None
