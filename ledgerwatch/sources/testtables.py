@@ -46,6 +46,13 @@ def _day_plus(day: str, col):
     return F.date_add(F.lit(day).cast("date"), col.cast("int")).cast("timestamp_ntz")
 
 
+def _to_second(col: str):
+    """Truncate a TIMESTAMP_NTZ to whole seconds without any time-zone step."""
+    c = F.col(col)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                                F.second(c))
+
+
 def _versions(df: DataFrame, frm: str = HIST_FROM) -> DataFrame:
     return (df.withColumn("deleted_flg", F.lit("n"))
               .withColumn("effective_from", lit_ts(frm))
@@ -57,7 +64,7 @@ def transactions(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
         _s("t", "event_id").alias("trans_id"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("trans_date"),
+        _to_second("ts").alias("trans_date"),
         _s("C", "user_id").alias("card_num"),
         F.col("event_type").alias("oper_type"),
         F.col("value").cast("decimal(18,2)").alias("amt"),
@@ -340,7 +347,7 @@ def raw_transactions(spark, sf_dir) -> DataFrame:
     return ev.select(
         F.when(eid % 7 == 1, F.concat(F.lit(" t"), eid.cast("string"), F.lit(" ")))
          .otherwise(_s("t", "event_id")).alias("transaction_id"),
-        F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
         F.when(eid % 3 == 0, F.regexp_replace(amt, r"\.", ",")).otherwise(amt).alias("amount"),
         F.when(eid % 5 == 2, F.concat(_s("C", "user_id"), F.lit("  "))).otherwise(_s("C", "user_id"))
          .alias("card_num"),
