@@ -194,13 +194,23 @@ def write_workbook(rows: list[list], header: list[str]) -> bytes:
     return buf.getvalue()
 
 
+# A worksheet holds at most 1,048,576 rows (header included).
+SHEET_MAX_ROWS = 1_048_576
+
+
 def write_workbook_drops(df: DataFrame, folder: str, day_col: str, prefix: str,
                          columns: tuple[str, ...]) -> None:
     """Write one '<prefix>_DDMMYYYY.xlsx' per day (test/demo producer). Each
     day's workbook is written inside a task (``applyInPandas``); only a
-    one-row status per file returns to the driver."""
+    one-row status per file returns to the driver. A day that would not fit
+    one sheet is refused before any group is gathered."""
     import pyarrow.fs as pafs
 
+    too_big = (df.groupBy(F.date_format(day_col, "ddMMyyyy").alias("_d")).count()
+                 .filter(F.col("count") >= SHEET_MAX_ROWS).limit(1).collect())
+    if too_big:
+        raise ValueError(f"day {too_big[0]['_d']} exceeds one worksheet ({SHEET_MAX_ROWS} rows)")
+
     root = folder.rstrip("/")
     local = root[len("file:"):] if root.startswith("file:") else root
 
