@@ -56,7 +56,7 @@ def advance_watermark(wm_table: DataFrame, table_name: str, new_value: Column) -
     hit = (F.col("table_db") == WAREHOUSE_DB) & (F.col("table_name") == table_name)
     return wm_table.select(
         "table_db", "table_name",
-        F.when(hit & new_value.isNotNull(), new_value).otherwise(F.col("last_update_dt"))
+        F.when(hit, F.coalesce(new_value, F.col("last_update_dt"))).otherwise(F.col("last_update_dt"))
          .alias("last_update_dt"))
 
 

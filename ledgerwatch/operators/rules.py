@@ -152,7 +152,8 @@ def city_pair_counts(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
                .groupBy("card_num", "trans_date", "terminal_city")
                .agg(F.count(F.lit(1)).alias("n_rows"))
                .withColumn("_us", epoch_micros("trans_date"))
-               .withColumn("_h", F.floor(F.col("_us") / F.lit(window_us))))
+               # exact floor division (pmod keeps negative times in 1h buckets)
+               .withColumn("_h", F.expr(f"(_us - pmod(_us, {window_us}L)) div {window_us}L")))
     copies = F.explode(F.array(
         F.struct(F.col("_h").alias("_b"), F.lit(True).alias("_own")),
         F.struct((F.col("_h") - 1).alias("_b"), F.lit(False).alias("_own")),
