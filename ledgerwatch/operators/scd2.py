@@ -256,6 +256,27 @@ def merge_latest_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys
                     (F.col("_has_t") | F.col("_insert")).alias("_keep"))
 
 
+def latest_and_retired(spec: DimSpec, m: DataFrame, latest: DataFrame, staged: DataFrame,
+                       run_ts: str) -> DataFrame:
+    """Both outputs of ``merge_latest_frame`` as one frame tagged by
+    ``_kind`` ('latest' | 'retired'), for a single write partitioned by it."""
+    k = spec.key
+    cols = spec.history_columns
+
+    def tagged(kind: str, src: str) -> Column:
+        return F.struct(F.lit(kind).alias("_kind"), *[F.col(f"{src}.{c}").alias(c) for c in cols])
+
+    rows = (m.select(F.explode(F.filter(F.array(
+                F.when(F.col("_keep"), tagged("latest", "_latest")),
+                F.when(F.col("_retired").isNotNull(), tagged("retired", "_retired"))),
+                lambda x: x.isNotNull())).alias("_v"))
+             .select("_v.*"))
+    nulls = (latest.filter(F.col(k).isNull()).select(*cols)
+                   .unionByName(_null_key_inserts(spec, staged, run_ts))
+                   .select(F.lit("latest").alias("_kind"), *cols))
+    return rows.unionByName(nulls)
+
+
 def split_latest(spec: DimSpec, m: DataFrame, latest: DataFrame, staged: DataFrame,
                  run_ts: str) -> tuple[DataFrame, DataFrame]:
     k = spec.key

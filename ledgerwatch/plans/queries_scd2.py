@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions import epoch_ts
 from ledgerwatch.operators import capture, scd2
 from ledgerwatch.plans.queries import query
-from ledgerwatch.plans.store import materialize
+from ledgerwatch.plans.store import has_data_files, path_exists
+from ledgerwatch.session import scratch_dir
 from ledgerwatch.schemas import DIMENSIONS, FLAG_DELETED, WAREHOUSE_DB
 from ledgerwatch.sources import testtables as tt
 
@@ -34,18 +35,47 @@ def day_inputs(spark, sf_dir, entity: str, day: int, hist: DataFrame):
 def replay(spark: SparkSession, sf_dir: str, entity: str, days: int,
            lazy_last: bool = False) -> DataFrame:
     """History after loading snapshots 0..days-1 from an empty warehouse.
-    Every day is written out (lineage cut), except the last one when the
-    caller consumes it once (``lazy_last``)."""
+
+    Runs the O(keys) form: each day merges the batch into the latest table
+    only and writes one table partitioned by _kind (latest | retired) in the
+    shared checkpoint folder, which also cuts the lineage. The next day reads
+    just the latest partition; the history is every retired partition plus
+    the last latest table. With ``lazy_last`` the last day is not written
+    (its result is consumed once)."""
     spec = DIMENSIONS[entity]
-    hist = scd2.empty_history(spark, spec)
+    schema = spec.history_schema()
+    latest = scd2.empty_history(spark, spec)
+    retired = []
+    root = scratch_dir(spark, f"scd2-{entity}")
     for d in range(days):
-        _, staged, keys = day_inputs(spark, sf_dir, entity, d, hist)
-        hist = scd2.merge_history(spec, hist, staged, keys, tt.RUN_TS[d])
-        if d < days - 1 or not lazy_last:
-            hist = materialize(spark, hist, f"hist-{entity}-{d}")
+        _, staged, keys = day_inputs(spark, sf_dir, entity, d, latest)
+        m = scd2.merge_latest_frame(spec, latest, staged, keys, tt.RUN_TS[d])
+        rows = scd2.latest_and_retired(spec, m, latest, staged, tt.RUN_TS[d])
+        if d == days - 1 and lazy_last:
+            latest = rows.filter(F.col("_kind") == "latest").drop("_kind")
+            retired.append(rows.filter(F.col("_kind") == "retired").drop("_kind"))
+            break
+        path = f"{root}/day={d}"
+        rows.write.mode("overwrite").partitionBy("_kind").parquet(path)
+        latest = _read_kind(spark, path, "latest", schema)
+        retired.append(_read_kind(spark, path, "retired", schema))
+    hist = latest
+    for r in retired:
+        hist = hist.unionByName(r)
     return hist
 
 
+def _read_kind(spark, path: str, kind: str, schema):
+    part = f"{path}/_kind={kind}"
+    if not has_data_files_or_missing(spark, part):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(part)
+
+
+def has_data_files_or_missing(spark, path: str) -> bool:
+    return path_exists(spark, path) and has_data_files(spark, path)
+
+
 def _full(entity):
     def q(spark, sf_dir):
         spec = DIMENSIONS[entity]
