@@ -12,8 +12,9 @@ Plan shape, chosen for scale:
 * Rule 3 never materialises pairs. Each (card, second, city) cell learns how
   many cells of *other* cities fall in (t, t+1h] and [t-1h, t); a fact row's
   report multiplicity is that count times the card's person fan-out |P|.
-  Windows run per (card, hour bucket) over pre-aggregated cells, so a hot
-  card is split by time and a hot second collapses to one cell per city.
+  Windows run per (card, hour bucket) over pre-aggregated cells (each cell
+  copied into its own and the previous bucket), so a hot card is split by
+  time and a hot second collapses to one cell per city.
 * The report needs only (time, person), so it runs on cells: the facts are
   aggregated to (card, second, city, n_rows) once, the cells carry the rule-3
   partner counts and join the profile P once, and each (cell, person) row
@@ -136,17 +137,18 @@ def rule2(inp: dict, report_ts: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- rule 3
-def city_pair_counts(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
-    """J2 in count form, per (card, second, city) cell:
-
-    later_partners   = fact x terminal-version rows of the same card with a
-                       different non-NULL city in (t, t + window]
-    earlier_partners = the same in [t - window, t)
-
-    Cells are pre-aggregated (map-side), then each cell is copied into its
-    own hour bucket and the two neighbouring ones, so the range windows
-    partition by (card, bucket) and never see more than three hours of one
-    card.
+def city_pair_rows(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
+    """J2 in count form. Facts x terminal versions are pre-aggregated
+    (map-side) to (card, second, city) cells; each cell then appears twice:
+
+    * in its own hour bucket h, where the range (t, t + window] lies in
+      buckets h and h+1: this row carries ``later_partners``;
+    * in bucket h-1, where [t - window, t) lies in buckets h-1 and h: this
+      row carries ``earlier_partners``.
+
+    A (card, bucket) window group therefore holds two hours of one card, and
+    partners of a different non-NULL city are counted as all minus same-city.
+    ``_own`` marks the first kind of row; both kinds carry ``n_rows``.
     """
     cells = (r.filter(F.col("card_num").isNotNull() & F.col("trans_date").isNotNull())
                .groupBy("card_num", "trans_date", "terminal_city")
@@ -156,8 +158,7 @@ def city_pair_counts(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
                .withColumn("_h", F.expr(f"(_us - pmod(_us, {window_us}L)) div {window_us}L")))
     copies = F.explode(F.array(
         F.struct(F.col("_h").alias("_b"), F.lit(True).alias("_own")),
-        F.struct((F.col("_h") - 1).alias("_b"), F.lit(False).alias("_own")),
-        F.struct((F.col("_h") + 1).alias("_b"), F.lit(False).alias("_own"))))
+        F.struct((F.col("_h") - 1).alias("_b"), F.lit(False).alias("_own"))))
     u = cells.select("*", copies.alias("_c")).select("*", "_c._b", "_c._own").drop("_c")
     contrib = F.when(F.col("terminal_city").isNotNull(), F.col("n_rows")).otherwise(F.lit(0))
     w_all = Window.partitionBy("card_num", "_b").orderBy("_us")
@@ -169,10 +170,19 @@ def city_pair_counts(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
     later = span(w_all, 1, window_us) - span(w_city, 1, window_us)
     earlier = span(w_all, -window_us, -1) - span(w_city, -window_us, -1)
     city_known = F.col("terminal_city").isNotNull()
-    return (u.select("card_num", "trans_date", "terminal_city", "n_rows", "_own",
-                     F.when(city_known, later).otherwise(0).cast("long").alias("later_partners"),
-                     F.when(city_known, earlier).otherwise(0).cast("long").alias("earlier_partners"))
-             .filter("_own").drop("_own"))
+    return u.select("card_num", "trans_date", "terminal_city", "n_rows", "_own",
+                    F.when(city_known & F.col("_own"), later).otherwise(0).cast("long").alias("later_partners"),
+                    F.when(city_known & ~F.col("_own"), earlier).otherwise(0).cast("long")
+                     .alias("earlier_partners"))
+
+
+def city_pair_counts(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
+    """Per cell: n_rows, later_partners, earlier_partners (one row per cell
+    that takes part in a pair)."""
+    rows = city_pair_rows(r, window_us).filter((F.col("later_partners") > 0) | (F.col("earlier_partners") > 0))
+    return (rows.groupBy("card_num", "trans_date", "terminal_city")
+                .agg(F.max("n_rows").alias("n_rows"), F.sum("later_partners").alias("later_partners"),
+                     F.sum("earlier_partners").alias("earlier_partners")))
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
@@ -192,9 +202,8 @@ def _cell_frame(inp: dict, pairs_only: bool) -> DataFrame:
     cells without partners before the profile join (rule-3-only queries).
     """
     r, p = _inputs(inp)
-    cells = city_pair_counts(r)
-    if pairs_only:
-        cells = cells.filter((F.col("later_partners") > 0) | (F.col("earlier_partners") > 0))
+    pairs = (F.col("later_partners") > 0) | (F.col("earlier_partners") > 0)
+    cells = city_pair_rows(r).filter(pairs if pairs_only else (F.col("_own") | pairs))
     p_n = p.join(profile_fanout(p), "card_num", "inner")
     e = cells.join(p_n, "card_num", "left")
     return (e.withColumn("person_rows", F.coalesce("person_rows", F.lit(1)).cast("long"))
@@ -228,8 +237,7 @@ def rule3(inp: dict, report_ts: str, side: str = "both") -> DataFrame:
 def rule3_pairs(inp: dict) -> DataFrame:
     """J2 pair counts per (card, second, city) cell that takes part in a pair."""
     r, _ = _inputs(inp)
-    return (city_pair_counts(r)
-            .filter((F.col("later_partners") > 0) | (F.col("earlier_partners") > 0)))
+    return city_pair_counts(r)
 
 
 # ------------------------------------------------------------------- report
@@ -242,15 +250,15 @@ def fraud_report(inp: dict, report_ts: str) -> DataFrame:
     appending the rules one after another.
     """
     e = _cell_frame(inp, pairs_only=False)
-    once = F.col("n_rows").cast("long")
+    once = F.when(F.col("_own"), F.col("n_rows").cast("long"))
     r3 = _rule3_multiplicities("both")
 
     def alert(kind, mult):
         return F.struct(F.lit(kind).alias("t"), mult.alias("m"))
 
     alerts = F.filter(F.array(
-        F.when(blocked() | expired(), alert(EVENT_BLOCKED_OR_EXPIRED_PASSPORT, once)),
-        F.when(contract_invalid(), alert(EVENT_INVALID_CONTRACT, once)),
+        F.when(F.col("_own") & (blocked() | expired()), alert(EVENT_BLOCKED_OR_EXPIRED_PASSPORT, once)),
+        F.when(F.col("_own") & contract_invalid(), alert(EVENT_INVALID_CONTRACT, once)),
         F.when(r3[0].isNotNull(), alert(EVENT_TWO_CITIES_ONE_HOUR, r3[0])),
         F.when(r3[1].isNotNull(), alert(EVENT_TWO_CITIES_ONE_HOUR, r3[1]))),
         lambda x: x.isNotNull())
