@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions import clean_string, epoch_ts, lit_ts, parse_amount, parse_day, parse_ts
-from ledgerwatch.schemas import DIMENSIONS, WAREHOUSE_DB, WATERMARK_TABLES, DimSpec
+from ledgerwatch.schemas import WAREHOUSE_DB, WATERMARK_TABLES, DimSpec
 
 # Source column feeding each staged column (relational sources and file drops).
 SOURCE_COLUMNS = {
@@ -152,7 +152,3 @@ def stage_blacklist(raw: DataFrame, wm, keep: tuple[str, ...] = ()) -> DataFrame
                        parse_day(F.trim("date")).alias("entry_dt"), *keep)
     return typed if wm is None else capture_strict(typed, "entry_dt", wm)
 
-
-def dim_spec(name: str) -> DimSpec:
-    return DIMENSIONS[name]
-

@@ -38,12 +38,6 @@ from ledgerwatch.schemas import (EVENT_BLOCKED_OR_EXPIRED_PASSPORT, EVENT_INVALI
 HOUR_US = 3600 * 1_000_000
 REPEAT_CHUNK = 4096
 
-REPORT_COLUMNS = ("event_dt", "passport", "fio", "phone", "event_type", "report_dt")
-ENRICHED_COLUMNS = ("trans_id", "trans_date", "card_num", "terminal", "terminal_city",
-                    "account_num", "valid_to", "client_id", "passport", "fio", "phone",
-                    "passport_valid_to", "entry_dt")
-
-
 # ------------------------------------------------------------------ joins J1
 def with_terminal_city(transactions: DataFrame, terminals: DataFrame) -> DataFrame:
     """R: facts x terminal versions (left join on terminal id only)."""

@@ -15,20 +15,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.session import scratch_dir
-
 MANIFEST = "_manifest.json"
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint folder and read it
-    back: cuts lineage, survives executor loss, and later scans prune columns
-    and push filters."""
-    path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 # --------------------------------------------------------------- filesystem
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm

@@ -168,3 +168,15 @@ def test_archive_moves_files(spark):
     moved = files.archive(spark, [f"file:{folder}/transactions_01012024.txt"], f"file:{folder}/archive")
     assert moved and os.path.exists(os.path.join(folder, "archive", "transactions_01012024.txt.backup"))
     assert not os.path.exists(os.path.join(folder, "transactions_01012024.txt"))
+
+
+def test_load_batch_appends_and_advances(spark):
+    fact = spark.createDataFrame([("t1", _d("2024-01-01 10:00:00"))], "trans_id string, trans_date timestamp_ntz")
+    batch = spark.createDataFrame([("t0", _d("2024-01-01 09:00:00")), ("t2", _d("2024-01-02 10:00:00"))],
+                                  "trans_id string, trans_date timestamp_ntz")
+    new_fact, staged, wm = facts.load_batch(fact, batch, "trans_date", "2024-01-01 10:00:00")
+    assert sorted(r.trans_id for r in new_fact.collect()) == ["t1", "t2"]
+    assert spark.range(1).select(wm.alias("w")).first().w == _d("2024-01-02 10:00:00")
+    empty = batch.filter("false")
+    _, _, same = facts.load_batch(fact, empty, "trans_date", "2024-01-01 10:00:00")
+    assert spark.range(1).select(same.alias("w")).first().w == _d("2024-01-01 10:00:00")
