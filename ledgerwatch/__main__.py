@@ -46,6 +46,10 @@ def main(argv=None) -> None:
     run.add_argument("--jdbc-password-file")
     run.add_argument("--no-archive", action="store_true")
     run.add_argument("--drop-order", choices=["date", "name"], default="date")
+    run.add_argument("--revive-unchanged", action="store_true",
+                     help="reopen a deleted key that returns unchanged")
+    run.add_argument("--compat-untrimmed-keys", action="store_true",
+                     help="compare delete keys untrimmed, as the original loader did")
     reset = sub.add_parser("reset")
     reset.add_argument("--warehouse", required=True)
     args = ap.parse_args(argv)
@@ -59,7 +63,8 @@ def main(argv=None) -> None:
     run_ts = args.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     cfg = PipelineConfig(warehouse=args.warehouse, drop_dir=args.drop_dir,
                          sources=_sources(spark, args.source, args), archive=not args.no_archive,
-                         drop_order=args.drop_order)
+                         drop_order=args.drop_order, revive_unchanged=args.revive_unchanged,
+                         compat_untrimmed_keys=args.compat_untrimmed_keys)
     print(json.dumps(run_pipeline(spark, cfg, run_ts)))
 
 
