@@ -4,6 +4,7 @@
       --source accounts=parquet:PATH --source cards=jdbc:bank.cards --source clients=... \
       [--jdbc-url URL --jdbc-user USER --jdbc-password-file FILE]
   python -m ledgerwatch reset --warehouse PATH
+  python -m ledgerwatch compact --warehouse PATH [--table fact_transactions ...]
 
 The run time defaults to now (UTC, whole seconds), taken once before any read.
 """
@@ -52,6 +53,10 @@ def main(argv=None) -> None:
                      help="compare delete keys untrimmed, as the original loader did")
     reset = sub.add_parser("reset")
     reset.add_argument("--warehouse", required=True)
+    comp = sub.add_parser("compact")
+    comp.add_argument("--warehouse", required=True)
+    comp.add_argument("--table", action="append",
+                      help="append-only table (default: facts, report and dimension archives)")
     args = ap.parse_args(argv)
 
     spark = get_session()
@@ -59,6 +64,10 @@ def main(argv=None) -> None:
         from ledgerwatch.plans.store import Warehouse
         Warehouse(spark, args.warehouse).reset()
         return
+    if args.cmd == "compact":
+        from ledgerwatch.plans.pipeline import compact_all
+        print(json.dumps(compact_all(spark, args.warehouse, args.table)))
+        return
     from ledgerwatch.plans.pipeline import PipelineConfig, run_pipeline
     run_ts = args.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     cfg = PipelineConfig(warehouse=args.warehouse, drop_dir=args.drop_dir,

@@ -164,5 +164,20 @@ def _rule_inputs(wh: Warehouse) -> dict:
             "blacklist": wh.read_append("fact_blacklist", BLACKLIST_SCHEMA)}
 
 
+# Append-only tables: schema and partition columns.
+APPEND_TABLES = {
+    "fact_transactions": (TRANSACTIONS_SCHEMA, ("trans_day",)),
+    "fact_blacklist": (BLACKLIST_SCHEMA, ()),
+    "rep_fraud": (REPORT_SCHEMA, ("report_day",)),
+    **{f"dim_{e}_archive": (DIMENSIONS[e].history_schema(), ()) for e in DIMENSIONS},
+}
+
+
+def compact_all(spark: SparkSession, warehouse: str, tables: list[str] | None = None) -> dict:
+    """Merge each append-only table's batches into one (one publish per table)."""
+    wh = Warehouse(spark, warehouse)
+    return {t: wh.compact(t, *APPEND_TABLES[t]) for t in (tables or list(APPEND_TABLES))}
+
+
 def read_report(spark: SparkSession, warehouse: str) -> DataFrame:
     return Warehouse(spark, warehouse).read_append("rep_fraud", REPORT_SCHEMA)

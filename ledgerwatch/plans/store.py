@@ -137,6 +137,31 @@ class Warehouse:
         df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
         return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
+    def compact(self, table: str, schema, partition_by: tuple[str, ...] = ()) -> int:
+        """Rewrite all committed batches of an append-only table as one batch
+        and publish it. Rows are unchanged; old folders stay until the new
+        manifest is visible and are then simply unreferenced. Returns the
+        number of batches replaced."""
+        paths = list(self.manifest.get("batches", {}).get(table, []))
+        if len(paths) <= 1:
+            return 0
+        df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
+        cols = [f.name for f in schema.fields] + [c for c in partition_by if c not in schema.names]
+        df = df.select(*cols)
+        if partition_by:
+            # Range on the partition columns plus a high-cardinality column:
+            # few files per partition value, and a hot value still spans
+            # several tasks instead of one.
+            df = df.repartitionByRange(*partition_by, schema.fields[0].name)
+        path = f"{self.root}/{table}/batch=c{self.manifest['run'] + 1}-{uuid.uuid4().hex[:8]}"
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        self.manifest["batches"][table] = [path] if has_data_files(self.spark, path) else []
+        self.publish()
+        return len(paths)
+
     # watermarks
     def watermark(self, table: str) -> str | None:
         return self.manifest["watermarks"].get(table)

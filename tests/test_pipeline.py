@@ -105,3 +105,25 @@ def test_cli_run_and_reset(spark, tmp_path):
     main(["reset", "--warehouse", wh])
     w = Warehouse(spark, wh)
     assert w.watermark("fact_transactions") is None and w.read("dim_accounts_latest") is None
+
+
+def test_compact_keeps_rows(spark, tmp_path):
+    from ledgerwatch.plans.pipeline import compact_all
+    from ledgerwatch.schemas import TRANSACTIONS_SCHEMA
+    drop = tmp_path / "drops"
+    drop.mkdir()
+    wh = "file:" + str(tmp_path / "wh")
+    for day, ts in (("01012024", "2024-01-01 10:00:00"), ("02012024", "2024-01-02 10:00:00")):
+        _drop(str(drop), f"transactions_{day}.txt",
+              _tx_file([(f"t{day}", ts, "1", "C1", "pay", "SUCCESS", "T1")]))
+        run_pipeline(spark, PipelineConfig(warehouse=wh, drop_dir=str(drop)), ts[:10] + " 23:00:00")
+    before = sorted(tuple(r) for r in Warehouse(spark, wh).read_append("fact_transactions",
+                                                                       TRANSACTIONS_SCHEMA).collect())
+    assert len(Warehouse(spark, wh).manifest["batches"]["fact_transactions"]) == 2
+    out = compact_all(spark, wh, ["fact_transactions"])
+    assert out == {"fact_transactions": 2}
+    w = Warehouse(spark, wh)
+    assert len(w.manifest["batches"]["fact_transactions"]) == 1
+    after = sorted(tuple(r) for r in w.read_append("fact_transactions", TRANSACTIONS_SCHEMA).collect())
+    assert after == before and len(after) == 2
+    assert w.watermark("fact_transactions") == "2024-01-02 10:00:00"
