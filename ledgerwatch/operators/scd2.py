@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwatch.functions import changed, end_ts, lit_ts, minus_one_second, ts_string
 from ledgerwatch.schemas import FLAG_DELETED, FLAG_LIVE, DimSpec
@@ -197,8 +198,9 @@ def _merge_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: Data
 
 
 def s_struct_type(spec: DimSpec, staged: DataFrame):
-    """Type of struct(business columns) as staged."""
-    return staged.select(F.struct(*spec.business).alias("x")).schema["x"].dataType
+    """Type of struct(business columns) as staged (from the known schema)."""
+    fields = {f.name: f for f in staged.schema.fields}
+    return T.StructType([fields[c] for c in spec.business])
 
 
 def _differs(spec: DimSpec) -> Column:
