@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.operators import capture, facts, rules, scd2
 from ledgerwatch.plans.store import Warehouse
+from ledgerwatch.session import scratch_dir
 from ledgerwatch.schemas import (BLACKLIST_SCHEMA, DIMENSIONS, EPOCH_TS, PATTERN_BLACKLIST,
                                  PATTERN_TERMINALS, PATTERN_TRANSACTIONS, RAW_BLACKLIST_COLUMNS,
                                  RAW_TERMINAL_COLUMNS, RAW_TRANSACTION_COLUMNS, REPORT_SCHEMA,
@@ -100,6 +101,12 @@ def _load_fact_files(spark, wh: Warehouse, name: str, paths: list[str], reader,
     batch_of = F.create_map(*[x for p, i in order.items()
                               for x in (F.lit(p.rsplit("/", 1)[-1]), F.lit(i))])
     typed = stager(raw.withColumn("_batch", batch_of[F.col("source_file")]))
+    # Parse the drops once: stage the typed rows as Parquet in the shared
+    # checkpoint folder. The replay's per-file maxima then read two columns,
+    # and the filter reads the staged copy instead of re-parsing text.
+    staged_path = scratch_dir(spark, f"staged-{name}")
+    typed.write.mode("overwrite").parquet(staged_path)
+    typed = spark.read.schema(typed.schema).parquet(staged_path)
     kept = facts.replay_batches(typed, date_col, "_batch", wm).drop("_batch")
     if partition_by:
         kept = kept.withColumn("trans_day", F.to_date(date_col))
