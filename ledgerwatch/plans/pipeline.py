@@ -73,6 +73,12 @@ def _files(spark, cfg, pattern):
 
 def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str, cfg) -> None:
     spec = DIMENSIONS[entity]
+    # Read the source once: a consistent snapshot in the shared checkpoint
+    # folder feeds both the captured rows and the list of present keys.
+    spark = source.sparkSession
+    snap = scratch_dir(spark, f"source-{entity}")
+    source.write.mode("overwrite").parquet(snap)
+    source = spark.read.schema(source.schema).parquet(snap)
     latest = wh.read(f"dim_{entity}_latest", spec.history_schema())
     wm = wh.watermark(f"dim_{entity}_hist") or EPOCH_TS
     staged = capture.stage_dimension(spec, source, wm, run_ts)
