@@ -110,24 +110,40 @@ def _report(df: DataFrame, event_type: int, report_ts: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- rules 1 and 2
+def weighted_facts(transactions: DataFrame, terminals: DataFrame) -> DataFrame:
+    """Facts with the number of versions of their terminal (1 when none).
+
+    Rules 1 and 2 use the terminal join only for its multiplicity, so the
+    facts carry it as a weight instead of being multiplied by versions before
+    the profile join; rows are expanded only after the filter."""
+    tv = terminals.groupBy("terminal_id").agg(F.count(F.lit(1)).alias("_tv"))
+    f = transactions.join(tv, transactions["terminal"] == tv["terminal_id"], "left")
+    return f.select("card_num", "trans_date", F.coalesce("_tv", F.lit(1)).cast("long").alias("_w"))
+
+
+def _weighted_rule(inp: dict, p_side: Column, cond: Column, event_type: int, report_ts: str) -> DataFrame:
+    p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"])
+    f = weighted_facts(inp["transactions"], inp["terminals"])
+    e = f.join(p.filter(p_side), "card_num", "inner").filter(cond)
+    rows = e.select("trans_date", "passport", "fio", "phone", F.col("_w").alias("_m"))
+    return _report(repeat_rows(rows, "_m"), event_type, report_ts)
+
+
 def rule1(inp: dict, report_ts: str, which: str = "both") -> DataFrame:
     """Blocked or expired passport. Only facts whose chain reaches a client
     with a usable date can qualify, so the profile is pre-filtered and joined
-    inner; the terminal fan-out is preserved."""
-    r, p = _inputs(inp)
+    inner; the terminal fan-out is kept as a weight."""
     cond = {"both": blocked() | expired(), "blocked": blocked(), "expired": expired()}[which]
     p_side = {"both": F.col("entry_dt").isNotNull() | F.col("passport_valid_to").isNotNull(),
               "blocked": F.col("entry_dt").isNotNull(),
               "expired": F.col("passport_valid_to").isNotNull()}[which]
-    e = r.join(p.filter(p_side), "card_num", "inner").filter(cond)
-    return _report(e, EVENT_BLOCKED_OR_EXPIRED_PASSPORT, report_ts)
+    return _weighted_rule(inp, p_side, cond, EVENT_BLOCKED_OR_EXPIRED_PASSPORT, report_ts)
 
 
 def rule2(inp: dict, report_ts: str) -> DataFrame:
     """Transaction on or after the account's valid_to."""
-    r, p = _inputs(inp)
-    e = r.join(p.filter(F.col("valid_to").isNotNull()), "card_num", "inner").filter(contract_invalid())
-    return _report(e, EVENT_INVALID_CONTRACT, report_ts)
+    return _weighted_rule(inp, F.col("valid_to").isNotNull(), contract_invalid(),
+                          EVENT_INVALID_CONTRACT, report_ts)
 
 
 # -------------------------------------------------------------------- rule 3
