@@ -269,8 +269,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     out = rows.select("doc_id", "n_shingles", "k1").join(ids, "k1", "left")
     component = F.when(F.col("k1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "k1")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "k1")
 
 
 def op5_minhash_odd_sketch(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("k1")
+
+
+def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component, the one with the smallest id; documents without a
+    set all stay. Rows that repeat the kept id stay once per different text."""
+    found = near_duplicates(docs).where("k1 is not null")
+    dropped = written(found.where("not kept").select(F.col("doc_id").alias("__id")).distinct(), "dropped")
+    again = written(found.where("kept").groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                    .select(F.col("component_id").alias("__id")), "again")
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    rest = docs.join(dropped, same, "left_anti")
+    if not again.take(1):
+        return rest
+    return rest.join(again, same, "left_anti").unionByName(rest.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

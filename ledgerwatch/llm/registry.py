@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerwatch.llm import minhash, toxicity
+from ledgerwatch.llm import decontaminate, minhash, mixing, pii, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
     "op5_minhash_odd_sketch": minhash.op5_minhash_odd_sketch,
+    "op7_poisson_mixing": mixing.op7_poisson_mixing,
+    "op9_pii_weak_supervision": pii.op9_pii_weak_supervision,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op7_poisson_mixing": mixing.oracle(),
+}
