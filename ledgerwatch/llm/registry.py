@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerwatch.llm import decontaminate, minhash, mixing, pii, toxicity
+from ledgerwatch.llm import decontaminate, minhash, mixing, passages, pii, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_minhash_odd_sketch": minhash.op5_minhash_odd_sketch,
     "op7_poisson_mixing": mixing.op7_poisson_mixing,
     "op9_pii_weak_supervision": pii.op9_pii_weak_supervision,
+    "op10_collinear_chaining": passages.op10_collinear_chaining,
 }
 
 ORACLE = {
