@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from ledgerwatch.llm import decontaminate, minhash, mixing, passages, pii, toxicity
+from ledgerwatch.llm import chat, decontaminate, embeddings, lm, minhash, mixing, passages, pii, toxicity, urls
 
 QUERIES = {
+    "op1_cover_tree": embeddings.op1_cover_tree,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_benchmark_decontamination": decontaminate.op3_benchmark_decontamination,
+    "op4_prefix_tree": chat.op4_prefix_tree,
     "op5_minhash_odd_sketch": minhash.op5_minhash_odd_sketch,
+    "op6_link_propagation": urls.op6_link_propagation,
     "op7_poisson_mixing": mixing.op7_poisson_mixing,
+    "op8_deleted_interpolation": lm.op8_deleted_interpolation,
     "op9_pii_weak_supervision": pii.op9_pii_weak_supervision,
     "op10_collinear_chaining": passages.op10_collinear_chaining,
 }
 
 ORACLE = {
+    "op4_prefix_tree": chat.ORACLE,
     "op7_poisson_mixing": mixing.oracle(),
 }
