@@ -169,7 +169,8 @@ def traverse(a: Leaves, b: Leaves, same: bool, weight_a: np.ndarray, weight_b: n
                     ej.append(mb[q] + na)
     i, j = (np.concatenate(x) if x else np.zeros(0, int) for x in (ei, ej))
     if same:
-        i, j = i % na if na else i, j % na if na else j
+        got_a += got_b  # either end lies in the same set
+        i, j = (i % na, j % na) if na else (i, j)
     return got_a, got_b, forest(i, j, na + nb)
 
 
