@@ -2,7 +2,8 @@
 
   python -m ledgerwatch run --warehouse PATH --drop-dir PATH --run-ts 'YYYY-MM-DD HH:MM:SS' \
       --source accounts=parquet:PATH --source cards=jdbc:bank.cards --source clients=... \
-      [--jdbc-url URL --jdbc-user USER --jdbc-password-file FILE]
+      [--jdbc-url URL --jdbc-user USER --jdbc-password-file FILE] \
+      [--partition cards=card_id:0:1000000000 --num-partitions 200] [--only-new-since]
   python -m ledgerwatch reset --warehouse PATH
   python -m ledgerwatch compact --warehouse PATH [--table fact_transactions ...]
 
@@ -30,10 +31,22 @@ def _sources(spark, specs, args):
             if args.jdbc_password_file:
                 with open(args.jdbc_password_file) as f:
                     jdbc["password"] = f.read().strip()
-        out[entity] = read_table(spark, fmt, location, jdbc=jdbc)
+        out[entity] = read_table(spark, fmt, location, jdbc=jdbc, **_split(args, entity))
     return out
 
 
+def _split(args, entity: str) -> dict:
+    """How a JDBC source is read in parallel: ENTITY=COLUMN:LOW:HIGH, or one predicate per task."""
+    out: dict = {}
+    for spec in args.partition or []:
+        name, _, rest = spec.partition("=")
+        if name == entity:
+            column, low, high = rest.rsplit(":", 2)
+            out = {"partition_column": column, "bounds": (int(low), int(high)), "num_partitions": args.num_partitions}
+    own = [p.partition("=")[2] for p in args.predicate or [] if p.partition("=")[0] == entity]
+    return {"predicates": own} if own else out
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="ledgerwatch")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -45,6 +58,13 @@ def main(argv=None) -> None:
     run.add_argument("--jdbc-url")
     run.add_argument("--jdbc-user")
     run.add_argument("--jdbc-password-file")
+    run.add_argument("--partition", action="append", help="entity=column:low:high, a numeric column of a JDBC source")
+    run.add_argument("--num-partitions", type=int, default=64)
+    run.add_argument("--predicate", action="append", help="entity=condition, one task of a JDBC source each")
+    run.add_argument("--only-new-since", action="store_true",
+                     help="report only events later than the newest one reported before")
+    run.add_argument("--compat-null-reset", action="store_true",
+                     help="an empty fact batch resets its watermark, as the original loader did")
     run.add_argument("--no-archive", action="store_true")
     run.add_argument("--drop-order", choices=["date", "name"], default="date")
     run.add_argument("--revive-unchanged", action="store_true",
@@ -73,7 +93,8 @@ def main(argv=None) -> None:
     cfg = PipelineConfig(warehouse=args.warehouse, drop_dir=args.drop_dir,
                          sources=_sources(spark, args.source, args), archive=not args.no_archive,
                          drop_order=args.drop_order, revive_unchanged=args.revive_unchanged,
-                         compat_untrimmed_keys=args.compat_untrimmed_keys)
+                         compat_untrimmed_keys=args.compat_untrimmed_keys,
+                         compat_null_reset=args.compat_null_reset, only_new_since=args.only_new_since)
     print(json.dumps(run_pipeline(spark, cfg, run_ts)))
 
 

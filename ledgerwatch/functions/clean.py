@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerwatch.schemas import END_TS, EPOCH_TS, TS_FMT
+from ledgerwatch.schemas import AMOUNT, END_TS, EPOCH_TS, TS_FMT
 
 
 def _c(col) -> Column:
@@ -49,8 +49,9 @@ def parse_day(col) -> Column:
 
 
 def parse_amount(col) -> Column:
-    """Decimal text with either '.' or ',' as the decimal mark; junk raises (ANSI)."""
-    return F.regexp_replace(F.trim(_c(col)), ",", ".").cast("decimal(18,2)")
+    """Decimal text with either '.' or ',' as the decimal mark; junk raises (ANSI).
+    The source column is an unrestricted number: ten decimals are kept."""
+    return F.regexp_replace(F.trim(_c(col)), ",", ".").cast(AMOUNT.simpleString())
 
 
 def minus_one_second(col) -> Column:

@@ -8,14 +8,12 @@ batch b is kept iff its date is above max(wm0, max date of every earlier
 batch). Reason: a batch raises the watermark exactly to its own maximum
 whenever that maximum is above it, and never lowers it. So the replay is one
 aggregation per batch, a running max over the (few) batch values, and a
-filter against a per-batch threshold, instead of a loop of dependent jobs.
+join with the per-batch thresholds, instead of a loop of dependent jobs.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions import lit_ts
@@ -35,33 +33,26 @@ def load_batch(fact: DataFrame, batch: DataFrame, date_col: str, wm):
     return append(fact, staged), staged, new_wm
 
 
-def replay_batches(rows: DataFrame, date_col: str, batch_col: str, wm0=None,
-                   max_batches: int = 100_000) -> DataFrame:
+def replay_batches(rows: DataFrame, date_col: str, batch_col: str, wm0=None) -> DataFrame:
     """T3: rows that a sequential per-batch load keeps (batches ordered by
-    ``batch_col``), with the default watermark guard.
+    ``batch_col``), with the default watermark guard. A row without a batch
+    fails the load.
 
-    One aggregation yields each batch's maximum (one value per dropped
-    file; the count is checked against ``max_batches``). The running maximum
-    over those few values becomes a literal batch -> threshold map, so the
-    rows themselves are only filtered where they sit: no join, no shuffle,
-    and a batch holding most of the rows is still spread over many tasks.
+    One aggregation yields each batch's maximum (one row per dropped file),
+    a window over those few rows the running maximum before each batch, and
+    the rows meet their threshold by a join on the batch, which the adaptive
+    planner broadcasts while the thresholds are measured to be small.
     """
     start = EPOCH_TS if wm0 is None else wm0
     if not isinstance(start, str):
         raise TypeError("wm0 must be a 'yyyy-MM-dd HH:mm:ss' string")
-    per_batch = (rows.groupBy(batch_col).agg(F.max(date_col).alias("_bmax"))
-                     .orderBy(batch_col).limit(max_batches + 1).collect())
-    if len(per_batch) > max_batches:
-        raise ValueError(f"more than {max_batches} batches in one replay")
-    bar = datetime.strptime(start, "%Y-%m-%d %H:%M:%S")
-    pairs = []
-    for r in per_batch:
-        if r[batch_col] is None:
-            continue
-        pairs += [F.lit(r[batch_col]), lit_ts(bar.strftime("%Y-%m-%d %H:%M:%S.%f"))]
-        if r["_bmax"] is not None and r["_bmax"] > bar:
-            bar = r["_bmax"]
-    if not pairs:
-        return rows.limit(0)
-    threshold = F.create_map(*pairs)[F.col(batch_col)]
-    return rows.filter(F.col(date_col) > threshold)
+    known = F.when(F.col(batch_col).isNull(),
+                   F.raise_error(F.concat(F.lit("a row of the load belongs to no batch; its date is "),
+                                          F.coalesce(F.col(date_col).cast("string"), F.lit("NULL")))))
+    rows = rows.withColumn(batch_col, F.coalesce(known.cast(rows.schema[batch_col].dataType), F.col(batch_col)))
+    per_batch = rows.groupBy(F.col(batch_col).alias("_b")).agg(F.max(date_col).alias("_bmax"))
+    # One row per dropped file in the window's only partition.
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    bars = per_batch.select("_b", F.greatest(lit_ts(start), F.max("_bmax").over(before)).alias("_bar"))
+    return (rows.join(bars, F.col(batch_col) == F.col("_b"))
+                .filter(F.col(date_col) > F.col("_bar")).drop("_b", "_bar"))

@@ -63,11 +63,6 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
         "phone", "passport_valid_to", "bl_passport", "entry_dt")
 
 
-def profile_fanout(profile: DataFrame) -> DataFrame:
-    """|P| per card (partial aggregation absorbs hot cards)."""
-    return profile.groupBy("card_num").agg(F.count(F.lit(1)).alias("person_rows"))
-
-
 def _inputs(inp: dict) -> tuple[DataFrame, DataFrame]:
     r = with_terminal_city(inp["transactions"], inp["terminals"])
     p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"])
@@ -147,9 +142,18 @@ def rule2(inp: dict, report_ts: str) -> DataFrame:
 
 
 # -------------------------------------------------------------------- rule 3
-def city_pair_rows(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
-    """J2 in count form. Facts x terminal versions are pre-aggregated
-    (map-side) to (card, second, city) cells; each cell then appears twice:
+def city_cells(transactions: DataFrame, terminals: DataFrame) -> DataFrame:
+    """(card, second, city, n_rows): facts x terminal versions, counted. The
+    facts are counted per (card, second, terminal) first (map-side), so only
+    counts, and no raw facts, move to meet the terminals."""
+    seen = (transactions.filter(F.col("card_num").isNotNull() & F.col("trans_date").isNotNull())
+            .groupBy("card_num", "trans_date", "terminal").agg(F.count(F.lit(1)).alias("_n")))
+    return (with_terminal_city(seen, terminals).groupBy("card_num", "trans_date", "terminal_city")
+            .agg(F.sum("_n").alias("n_rows")))
+
+
+def city_pair_rows(cells: DataFrame, window_us: int = HOUR_US) -> DataFrame:
+    """J2 in count form over ``city_cells``; each cell appears twice:
 
     * in its own hour bucket h, where the range (t, t + window] lies in
       buckets h and h+1: this row carries ``later_partners``;
@@ -160,12 +164,9 @@ def city_pair_rows(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
     partners of a different non-NULL city are counted as all minus same-city.
     ``_own`` marks the first kind of row; both kinds carry ``n_rows``.
     """
-    cells = (r.filter(F.col("card_num").isNotNull() & F.col("trans_date").isNotNull())
-               .groupBy("card_num", "trans_date", "terminal_city")
-               .agg(F.count(F.lit(1)).alias("n_rows"))
-               .withColumn("_us", epoch_micros("trans_date"))
-               # exact floor division (pmod keeps negative times in 1h buckets)
-               .withColumn("_h", F.expr(f"(_us - pmod(_us, {window_us}L)) div {window_us}L")))
+    cells = (cells.withColumn("_us", epoch_micros("trans_date"))
+                  # exact floor division (pmod keeps negative times in 1h buckets)
+                  .withColumn("_h", F.expr(f"(_us - pmod(_us, {window_us}L)) div {window_us}L")))
     copies = F.explode(F.array(
         F.struct(F.col("_h").alias("_b"), F.lit(True).alias("_own")),
         F.struct((F.col("_h") - 1).alias("_b"), F.lit(False).alias("_own"))))
@@ -174,8 +175,12 @@ def city_pair_rows(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
     w_all = Window.partitionBy("card_num", "_b").orderBy("_us")
     w_city = Window.partitionBy("card_num", "_b", "terminal_city").orderBy("_us")
 
+    def upto(w, bound):
+        # A frame that only grows costs one addition per row; a sliding one is summed anew at each row.
+        return F.coalesce(F.sum(contrib).over(w.rangeBetween(Window.unboundedPreceding, bound)), F.lit(0))
+
     def span(w, lo, hi):
-        return F.coalesce(F.sum(contrib).over(w.rangeBetween(lo, hi)), F.lit(0))
+        return upto(w, hi) - upto(w, lo - 1)
 
     later = span(w_all, 1, window_us) - span(w_city, 1, window_us)
     earlier = span(w_all, -window_us, -1) - span(w_city, -window_us, -1)
@@ -186,21 +191,28 @@ def city_pair_rows(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
                      .alias("earlier_partners"))
 
 
-def city_pair_counts(r: DataFrame, window_us: int = HOUR_US) -> DataFrame:
+def city_pair_counts(cells: DataFrame, window_us: int = HOUR_US) -> DataFrame:
     """Per cell: n_rows, later_partners, earlier_partners (one row per cell
     that takes part in a pair)."""
-    rows = city_pair_rows(r, window_us).filter((F.col("later_partners") > 0) | (F.col("earlier_partners") > 0))
+    rows = city_pair_rows(cells, window_us).filter((F.col("later_partners") > 0) | (F.col("earlier_partners") > 0))
     return (rows.groupBy("card_num", "trans_date", "terminal_city")
                 .agg(F.max("n_rows").alias("n_rows"), F.sum("later_partners").alias("later_partners"),
                      F.sum("earlier_partners").alias("earlier_partners")))
 
 
-def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row `times` times (>= 1), generated in bounded chunks."""
+def repeat_rows(df: DataFrame, times: str, spread: bool = False) -> DataFrame:
+    """Each row `times` times (>= 1). Arrays hold at most REPEAT_CHUNK numbers for up to its
+    third power of repetitions; ``spread`` deals a row's chunks to many tasks before
+    the last step."""
     ch = REPEAT_CHUNK
-    return (df.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {ch})")))
-              .withColumn("_i", F.explode(F.expr(f"sequence(1L, least({ch}L, {times} - _chunk * {ch}))")))
-              .drop("_chunk", "_i"))
+    out = (df.withColumn("_block", F.explode(F.expr(f"sequence(0L, ({times} - 1) div {ch * ch}L)")))
+             .withColumn("_left", F.expr(f"least({ch * ch}L, {times} - _block * {ch * ch}L)"))
+             .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_left - 1) div {ch})"))))
+    if spread:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition(parts, "_block", "_chunk", *df.columns)
+    return (out.withColumn("_i", F.explode(F.expr(f"sequence(1L, least({ch}L, _left - _chunk * {ch}))")))
+               .drop("_block", "_left", "_chunk", "_i"))
 
 
 def _cell_frame(inp: dict, pairs_only: bool) -> DataFrame:
@@ -211,10 +223,13 @@ def _cell_frame(inp: dict, pairs_only: bool) -> DataFrame:
     (cell, person row) stands for n_rows enriched rows. ``pairs_only`` drops
     cells without partners before the profile join (rule-3-only queries).
     """
-    r, p = _inputs(inp)
+    p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"])
     pairs = (F.col("later_partners") > 0) | (F.col("earlier_partners") > 0)
-    cells = city_pair_rows(r).filter(pairs if pairs_only else (F.col("_own") | pairs))
-    p_n = p.join(profile_fanout(p), "card_num", "inner")
+    cells = city_cells(inp["transactions"], inp["terminals"])
+    cells = city_pair_rows(cells).filter(pairs if pairs_only else (F.col("_own") | pairs))
+    # The fan-out is counted where the profile already lies by card for the join below.
+    p_n = p.filter(F.col("card_num").isNotNull()).withColumn(
+        "person_rows", F.count(F.lit(1)).over(Window.partitionBy("card_num")))
     e = cells.join(p_n, "card_num", "left")
     return (e.withColumn("person_rows", F.coalesce("person_rows", F.lit(1)).cast("long"))
              .withColumn("fio", F.coalesce("fio", full_name(F.lit(None), F.lit(None), F.lit(None)))))
@@ -241,13 +256,12 @@ def rule3(inp: dict, report_ts: str, side: str = "both") -> DataFrame:
     e = _cell_frame(inp, pairs_only=True)
     m = F.explode(F.filter(F.array(*_rule3_multiplicities(side)), lambda x: x.isNotNull()))
     rows = e.select("trans_date", "passport", "fio", "phone", m.alias("_m"))
-    return _report(repeat_rows(rows, "_m"), EVENT_TWO_CITIES_ONE_HOUR, report_ts)
+    return _report(repeat_rows(rows, "_m", spread=True), EVENT_TWO_CITIES_ONE_HOUR, report_ts)
 
 
 def rule3_pairs(inp: dict) -> DataFrame:
     """J2 pair counts per (card, second, city) cell that takes part in a pair."""
-    r, _ = _inputs(inp)
-    return city_pair_counts(r)
+    return city_pair_counts(city_cells(inp["transactions"], inp["terminals"]))
 
 
 # ------------------------------------------------------------------- report
@@ -275,6 +289,11 @@ def fraud_report(inp: dict, report_ts: str) -> DataFrame:
     rows = (e.select("trans_date", "passport", "fio", "phone", F.explode(alerts).alias("_a"))
               .select("trans_date", "passport", "fio", "phone",
                       F.col("_a.t").alias("_t"), F.col("_a.m").alias("_m")))
-    out = repeat_rows(rows, "_m")
+    out = repeat_rows(rows, "_m", spread=True)
     return out.select(F.col("trans_date").alias("event_dt"), "passport", "fio", "phone",
                       F.col("_t").cast("int").alias("event_type"), lit_ts(report_ts).alias("report_dt"))
+
+
+def only_new_since(report: DataFrame, last_event: str) -> DataFrame:
+    """F5 option: alerts of events later than ``last_event``, the newest reported before."""
+    return report.filter(F.col("event_dt") > lit_ts(last_event))

@@ -12,7 +12,7 @@ STAGE_TX = """
 SELECT nullif(trim(transaction_id), '') AS trans_id,
        strptime(trim(transaction_date), '%Y-%m-%d %H:%M:%S') AS trans_date,
        nullif(trim(card_num), '') AS card_num, nullif(trim(oper_type), '') AS oper_type,
-       CAST(replace(trim(amount), ',', '.') AS DECIMAL(18,2)) AS amt,
+       CAST(replace(trim(amount), ',', '.') AS DECIMAL(38,10)) AS amt,
        nullif(trim(oper_result), '') AS oper_result, nullif(trim(terminal), '') AS terminal
 FROM {src}"""
 

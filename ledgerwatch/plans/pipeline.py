@@ -12,9 +12,10 @@ Storage layout under ``cfg.warehouse``:
   fact_transactions/...  append-only batches, partitioned by trans_day
   fact_blacklist/...     append-only batches
   rep_fraud/...          append-only batches, partitioned by report_day
-  _manifest.json         table versions, batch lists and watermarks
-Nothing becomes visible before the manifest swap at the end; drops are
-archived only after it.
+  _manifest-<n>.json     table versions, batch lists, watermarks, consumed drops
+Nothing becomes visible before the manifest is published at the end; drops are
+archived only after it. The manifest lists the drops it has consumed (name,
+size and time), so a drop whose move to the archive failed is not loaded again.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.operators import capture, facts, rules, scd2
 from ledgerwatch.plans.store import Warehouse
-from ledgerwatch.session import scratch_dir
+from ledgerwatch.session import drop_scratch, scratch_dir
 from ledgerwatch.schemas import (BLACKLIST_SCHEMA, DIMENSIONS, EPOCH_TS, PATTERN_BLACKLIST,
                                  PATTERN_TERMINALS, PATTERN_TRANSACTIONS, RAW_BLACKLIST_COLUMNS,
                                  RAW_TERMINAL_COLUMNS, RAW_TRANSACTION_COLUMNS, REPORT_SCHEMA,
@@ -48,6 +49,11 @@ class PipelineConfig:
     archive: bool = True
     revive_unchanged: bool = False
     compat_untrimmed_keys: bool = False
+    # An empty fact batch resets the watermark, as the original loader did.
+    compat_null_reset: bool = False
+    # Report only events later than the newest one reported before, instead of
+    # the whole history again each run.
+    only_new_since: bool = False
     drop_order: str = "date"
 
 
@@ -63,20 +69,33 @@ class Clock:
         return out
 
 
-def _files(spark, cfg, pattern):
+@dataclass(frozen=True)
+class Drop:
+    """One dropped file: its path, its own name, and what tells it from a later file of that name."""
+    path: str
+    name: str
+    mark: str
+
+
+def _files(spark, cfg, pattern, consumed: set[str]) -> tuple[list[Drop], list[Drop]]:
+    """(drops to load, in order; drops that an earlier run has loaded already)."""
     if not cfg.drop_dir:
-        return []
+        return [], []
     found = files.discover_empty_ok(spark, cfg.drop_dir, pattern, cfg.drop_order)
     # The listing (one row per file) is all that reaches the driver.
-    return [r.path for r in found.orderBy("batch_no").select("path").collect()]
+    drops = [Drop(r.path, r.file_name, r.mark) for r in found.orderBy("batch_no").select("path", "file_name", "mark").collect()]
+    return [d for d in drops if d.mark not in consumed], [d for d in drops if d.mark in consumed]
 
 
-def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str, cfg) -> None:
+def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str, cfg, scratch: list[str]) -> int:
+    """Loads one source; returns how many captured rows had no business key (they are
+    inserted anew by every load that captures them)."""
     spec = DIMENSIONS[entity]
     # Read the source once: a consistent snapshot in the shared checkpoint
     # folder feeds both the captured rows and the list of present keys.
     spark = source.sparkSession
     snap = scratch_dir(spark, f"source-{entity}")
+    scratch.append(snap)
     source.write.mode("overwrite").parquet(snap)
     source = spark.read.schema(source.schema).parquet(snap)
     latest = wh.read(f"dim_{entity}_latest", spec.history_schema())
@@ -93,75 +112,126 @@ def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str,
     m.unpersist()
     mx = written.agg(F.max("effective_from").alias("m")).first().m
     wh.set_watermark(f"dim_{entity}_hist", mx.strftime(FMT) if mx else None)
+    return staged.filter(F.col(spec.key).isNull()).count()
 
 
-def _load_fact_files(spark, wh: Warehouse, name: str, paths: list[str], reader, stager,
-                     date_col: str, partition_by: tuple[str, ...] = ()) -> None:
+def _load_fact_files(spark, wh: Warehouse, name: str, drops: list[Drop], reader, stager,
+                     date_col: str, cfg, scratch: list[str], partition_by: tuple[str, ...] = ()) -> None:
     """All drops of one kind in one job: batch number = file order; the
-    closed-form replay keeps exactly what a file-by-file load keeps."""
-    if not paths:
+    closed-form replay keeps exactly what a file-by-file load keeps. A row
+    from a file without a number fails the load."""
+    if not drops:
         return
     wm = wh.watermark(name) or EPOCH_TS
-    order = {p: i for i, p in enumerate(paths)}
-    raw = reader(paths)
-    batch_of = F.create_map(*[x for p, i in order.items()
-                              for x in (F.lit(p.rsplit("/", 1)[-1]), F.lit(i))])
-    typed = stager(raw.withColumn("_batch", batch_of[F.col("source_file")]))
+    raw = reader([d.path for d in drops])
+    numbers = spark.createDataFrame([(d.name, i) for i, d in enumerate(drops)], "_name string, _batch int")
+    # One row per file; the left join keeps rows of unknown files, which the replay refuses.
+    raw = raw.join(numbers, raw["source_file"] == numbers["_name"], "left")
+    typed = stager(raw)
     # Parse the drops once: stage the typed rows as Parquet in the shared
     # checkpoint folder. The replay's per-file maxima then read two columns,
     # and the filter reads the staged copy instead of re-parsing text.
     staged_path = scratch_dir(spark, f"staged-{name}")
+    scratch.append(staged_path)
     typed.write.mode("overwrite").parquet(staged_path)
     typed = spark.read.schema(typed.schema).parquet(staged_path)
-    kept = facts.replay_batches(typed, date_col, "_batch", wm).drop("_batch")
+    kept = facts.replay_batches(typed, date_col, "_batch", wm)
+    if cfg.compat_null_reset:
+        kept = _replay_with_reset(wh, name, typed, date_col, len(drops), wm)
+    kept = kept.drop("_batch")
     if partition_by:
         kept = kept.withColumn("trans_day", F.to_date(date_col))
     written = wh.append(name, kept, partition_by)
     mx = written.agg(F.max(date_col).alias("m")).first().m
-    if mx is not None and mx.strftime(FMT) > wm:
+    if mx is not None and (cfg.compat_null_reset or mx.strftime(FMT) > wm):
         wh.set_watermark(name, mx.strftime(FMT))
 
 
+def _replay_with_reset(wh: Warehouse, name: str, typed: DataFrame, date_col: str, n: int, wm: str) -> DataFrame:
+    """The original's watermark guard, batch by batch: a batch that captures nothing sets
+    the watermark back to the epoch once the fact holds rows."""
+    per = {r["_batch"]: r.m for r in typed.groupBy("_batch").agg(F.max(date_col).alias("m")).collect()}  # one row per file
+    if None in per:
+        raise ValueError("a row of the load belongs to no batch")
+    bars, bar = [], wm
+    filled = bool(wh.manifest.get("batches", {}).get(name))
+    for i in range(n):
+        m = per.get(i)
+        top = m.strftime(FMT) if m is not None else None
+        bars.append((i, bar))
+        if top is not None and top > bar:
+            bar, filled = top, True
+        elif filled:
+            bar = EPOCH_TS
+    if bar == EPOCH_TS and filled:
+        wh.manifest["watermarks"].pop(name, None)
+    limits = typed.sparkSession.createDataFrame(bars, "_b int, _bar string")
+    return (typed.join(limits, typed["_batch"] == limits["_b"])
+                 .filter(F.col(date_col) > F.col("_bar").cast("timestamp_ntz")).drop("_b", "_bar"))
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig, run_ts: str) -> dict:
+    """One daily load. Scratch copies of the run are removed when it ends, well or not."""
+    scratch: list[str] = []
+    try:
+        return _run(spark, cfg, run_ts, scratch)
+    finally:
+        drop_scratch(spark, scratch)
+
+
+def _run(spark: SparkSession, cfg: PipelineConfig, run_ts: str, scratch: list[str]) -> dict:
     wh = Warehouse(spark, cfg.warehouse)
     clock = Clock(run_ts)
-    consumed = []
+    known = set(wh.manifest.get("consumed", []))
+    consumed: list[Drop] = []
+    again: list[Drop] = []
+    null_keys: dict[str, int] = {}
 
     # terminals: file drops, one SCD2 batch per file, in file order
-    term_files = _files(spark, cfg, PATTERN_TERMINALS)
-    for p in term_files:
-        raw = files.read_workbooks(spark, [p], RAW_TERMINAL_COLUMNS)
-        _load_dimension(wh, "terminals", raw, clock.next(), cfg)
-    consumed += term_files
+    todo, old = _files(spark, cfg, PATTERN_TERMINALS, known)
+    for d in todo:
+        raw = files.read_workbooks(spark, [d.path], RAW_TERMINAL_COLUMNS)
+        lost = _load_dimension(wh, "terminals", raw, clock.next(), cfg, scratch)
+        null_keys["terminals"] = null_keys.get("terminals", 0) + lost
+    consumed, again = consumed + todo, again + old
 
     # passport blacklist and transactions: append-only facts
-    bl_files = _files(spark, cfg, PATTERN_BLACKLIST)
-    _load_fact_files(spark, wh, "fact_blacklist", bl_files,
+    todo, old = _files(spark, cfg, PATTERN_BLACKLIST, known)
+    _load_fact_files(spark, wh, "fact_blacklist", todo,
                      lambda ps: files.read_workbooks(spark, ps, RAW_BLACKLIST_COLUMNS),
-                     lambda df: capture.stage_blacklist(df, None, keep=("_batch",)), "entry_dt")
-    consumed += bl_files
-    tx_files = _files(spark, cfg, PATTERN_TRANSACTIONS)
-    _load_fact_files(spark, wh, "fact_transactions", tx_files,
+                     lambda df: capture.stage_blacklist(df, None, keep=("_batch",)), "entry_dt", cfg, scratch)
+    consumed, again = consumed + todo, again + old
+    todo, old = _files(spark, cfg, PATTERN_TRANSACTIONS, known)
+    _load_fact_files(spark, wh, "fact_transactions", todo,
                      lambda ps: files.read_delimited(spark, ps, RAW_TRANSACTION_COLUMNS),
                      lambda df: capture.stage_transactions(df, None, keep=("_batch",)),
-                     "trans_date", partition_by=("trans_day",))
-    consumed += tx_files
+                     "trans_date", cfg, scratch, partition_by=("trans_day",))
+    consumed, again = consumed + todo, again + old
 
     # relational sources
     for entity in ("accounts", "cards", "clients"):
         if entity in cfg.sources:
-            _load_dimension(wh, entity, cfg.sources[entity], clock.next(), cfg)
+            null_keys[entity] = _load_dimension(wh, entity, cfg.sources[entity], clock.next(), cfg, scratch)
 
     # fraud report over the whole fact history and every dimension version
     report_ts = clock.next()
     inp = _rule_inputs(wh)
-    report = rules.fraud_report(inp, report_ts).withColumn("report_day", F.to_date("report_dt"))
-    wh.append("rep_fraud", report, ("report_day",))
-
+    report = rules.fraud_report(inp, report_ts)
+    if cfg.only_new_since:
+        before = wh.read_append("rep_fraud", REPORT_SCHEMA).agg(F.max("event_dt").alias("m")).first().m
+        if before is not None:
+            report = rules.only_new_since(report, before.strftime("%Y-%m-%d %H:%M:%S.%f"))
+    wh.append("rep_fraud", report.withColumn("report_day", F.to_date("report_dt")), ("report_day",))
+
+    # Drops that stay in the folder must be known to the next run; the marks of archived
+    # files leave the list with the run after.
+    wh.manifest["consumed"] = sorted(d.mark for d in consumed + again)
     wh.publish()
-    if cfg.archive and consumed:
-        files.archive(spark, consumed, f"{cfg.drop_dir.rstrip('/')}/archive")
-    return {"run_ts": run_ts, "report_ts": report_ts, "files": len(consumed),
+    failed: list[str] = []
+    if cfg.archive and consumed + again:
+        _, failed = files.archive(spark, [d.path for d in consumed + again], f"{cfg.drop_dir.rstrip('/')}/archive")
+    return {"run_ts": run_ts, "report_ts": report_ts, "files": len(consumed), "skipped": len(again),
+            "not_archived": failed, "null_keys": {k: n for k, n in null_keys.items() if n},
             "watermarks": dict(wh.manifest["watermarks"])}
 
 

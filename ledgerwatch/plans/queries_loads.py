@@ -144,7 +144,8 @@ def q_src_workbook_drop(spark, sf_dir):
     """S2: blacklist drops as one workbook per day, scanned back in parallel."""
     folder = scratch_dir(spark, "drop-xlsx")
     raw = tt.raw_blacklist(spark, sf_dir)
-    files.write_workbook_drops(raw, folder, "_day", "passport_blacklist", RAW_BLACKLIST_COLUMNS)
+    files.write_workbook_drops(raw, folder, "_day", "passport_blacklist", RAW_BLACKLIST_COLUMNS,
+                               date_columns=("date",))
     paths = [r.path for r in files.discover(spark, folder, PATTERN_BLACKLIST).select("path").collect()]
     return files.read_workbooks(spark, paths, RAW_BLACKLIST_COLUMNS)
 

@@ -1,21 +1,33 @@
-"""Snapshot storage: versioned Parquet tables published by an atomic manifest.
+"""Snapshot storage: versioned Parquet tables published by numbered manifests.
 
 File tables cannot be updated in place, and overwriting a path that is being
-read loses data. So every table version is written once to
-``<root>/<table>/v=<n>/`` and a small JSON manifest names the current
-version of every table plus the watermarks. Publishing writes a new manifest
-under a temporary name and renames it over the old one, so data and
-watermarks become visible together or not at all.
+read loses data. So every table version is written once to a folder of its
+own, ``<root>/<table>/v=<n>-<token>/``, and a small JSON manifest names the
+current version of every table plus the watermarks. Publishing writes the
+manifest with the next number under a temporary name and renames it to
+``_manifest-<number>.json``, which must not exist yet. Older manifests are not
+touched, so data and watermarks become visible together or not at all, and of
+two writers that started from the same manifest the second is refused.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest-{:010d}.json"
+_NAME = re.compile(r"_manifest-(\d{10,})\.json$")
+#: The one manifest of warehouses written before manifests had numbers.
+_OLD_MANIFEST = "_manifest.json"
+#: Manifests kept besides the current one.
+KEPT = 20
+
+
+class StaleWriter(RuntimeError):
+    """Another writer published after this one read the manifest."""
 
 
 # --------------------------------------------------------------- filesystem
@@ -47,8 +59,8 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write to a temporary sibling, then rename over the target."""
+def write_text_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write to a temporary sibling, then rename to ``path``; FileExistsError if that exists."""
     fs, p, jvm = _fs(spark, path)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
@@ -57,9 +69,34 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
     finally:
         out.close()
     if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish {path}")
+        fs.delete(tmp, False)
+        raise FileExistsError(path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(
+        getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+    try:
+        # Without the overwrite option this fails if another writer was faster.
+        context.rename(tmp, p, options)
+    except Exception as e:
+        fs.delete(tmp, False)
+        if "FileAlreadyExists" in str(e):
+            raise FileExistsError(path) from e
+        raise OSError(f"could not publish {path}") from e
+
+
+def list_names(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of the entries of a folder; empty if it does not exist."""
+    fs, p, _ = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(p)]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def has_data_files(spark: SparkSession, path: str) -> bool:
@@ -86,14 +123,34 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        text = read_text(spark, f"{self.root}/{MANIFEST}")
+        names = list_names(spark, self.root)
+        numbers = sorted(int(m[1]) for n, _ in names if (m := _NAME.match(n)))
+        self._old = numbers
+        current = MANIFEST.format(numbers[-1]) if numbers else _OLD_MANIFEST
+        text = read_text(spark, f"{self.root}/{current}")
+        if text is None and any(folder and not n.startswith(("_", ".")) for n, folder in names):
+            raise RuntimeError(f"{self.root} holds table folders but no manifest: it is not an empty warehouse")
         self.manifest = json.loads(text) if text else {"tables": {}, "watermarks": {}, "run": 0}
-        self._pending: dict[str, int] = {}
+        self._exists = text is not None
+        self._pending: dict[str, int | str] = {}
+
+    def _open(self) -> None:
+        """The first manifest is published before any table folder is made, so a folder
+        never lies beside no manifest."""
+        if not self._exists:
+            self.publish()
 
     # tables
-    def version(self, table: str) -> int | None:
+    def version(self, table: str) -> int | str | None:
         return self._pending.get(table, self.manifest["tables"].get(table))
 
+    def _next_version(self, table: str) -> str:
+        """Numbers rise for good, also after a reset; the token keeps two writers apart."""
+        last = self.manifest.setdefault("last_version", {})
+        number = max(last.get(table, 0), int(str(self.version(table) or 0).split("-")[0])) + 1
+        last[table] = number
+        return f"{number}-{uuid.uuid4().hex[:8]}"
+
     def read(self, table: str, schema=None) -> DataFrame | None:
         v = self.version(table)
         if v is None:
@@ -103,7 +160,8 @@ class Warehouse:
     def stage(self, table: str, df: DataFrame, append_to: DataFrame | None = None,
               partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a new version of ``table`` (not yet visible to others)."""
-        v = (self.version(table) or 0) + 1
+        self._open()
+        v = self._next_version(table)
         path = f"{self.root}/{table}/v={v}"
         out = df if append_to is None else append_to.unionByName(df)
         w = out.write.mode("overwrite")
@@ -117,6 +175,7 @@ class Warehouse:
         """Append-only tables keep one folder and add files: old files are
         never rewritten, and readers only see files named in the manifest's
         batch list."""
+        self._open()
         path = f"{self.root}/{table}/batch={self.manifest['run'] + 1}-{uuid.uuid4().hex[:8]}"
         w = df.write.mode("overwrite")
         if partition_by:
@@ -173,12 +232,22 @@ class Warehouse:
     def reset(self) -> None:
         """Empty every table and set watermarks back to the epoch by
         publishing an empty manifest; old files stay but are unreachable."""
-        self.manifest = {"tables": {}, "watermarks": {}, "batches": {}, "run": self.manifest.get("run", 0)}
+        self.manifest = {"tables": {}, "watermarks": {}, "batches": {}, "run": self.manifest.get("run", 0),
+                         "last_version": self.manifest.get("last_version", {})}
         self._pending = {}
         self.publish()
 
     def publish(self) -> None:
-        self.manifest["tables"].update(self._pending)
-        self.manifest["run"] = self.manifest.get("run", 0) + 1
-        write_text_atomic(self.spark, f"{self.root}/{MANIFEST}", json.dumps(self.manifest, indent=1))
-        self._pending = {}
+        """Make everything staged visible. Raises StaleWriter, and leaves the published state
+        as it is, if the manifest is no longer the one that was read."""
+        new = json.loads(json.dumps(self.manifest))
+        new["tables"].update(self._pending)
+        new["run"] = new.get("run", 0) + 1
+        try:
+            write_text_new(self.spark, f"{self.root}/{MANIFEST.format(new['run'])}", json.dumps(new, indent=1))
+        except FileExistsError as e:
+            raise StaleWriter(f"manifest {new['run']} of {self.root} was published by another writer") from e
+        self.manifest, self._pending, self._exists = new, {}, True
+        self._old.append(new["run"])
+        while len(self._old) > KEPT + 1:
+            remove(self.spark, f"{self.root}/{MANIFEST.format(self._old.pop(0))}")

@@ -26,6 +26,7 @@ DELIMITER = ";"
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 NTZ = T.TimestampNTZType()
 STR = T.StringType()
+AMOUNT = T.DecimalType(38, 10)
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,7 @@ FACTS = {f.name: f for f in (TRANSACTIONS, BLACKLIST)}
 TRANSACTIONS_SCHEMA = T.StructType([
     T.StructField("trans_id", STR), T.StructField("trans_date", NTZ),
     T.StructField("card_num", STR), T.StructField("oper_type", STR),
-    T.StructField("amt", T.DecimalType(18, 2)), T.StructField("oper_result", STR),
+    T.StructField("amt", AMOUNT), T.StructField("oper_result", STR),
     T.StructField("terminal", STR)])
 BLACKLIST_SCHEMA = T.StructType([T.StructField("passport_num", STR),
                                  T.StructField("entry_dt", NTZ)])

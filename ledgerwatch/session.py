@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,8 +48,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster's ``spark.checkpoint.dir`` wins. Only when nothing is set
-    (local tests) a private folder is created.
+    The cluster's ``spark.checkpoint.dir`` wins. Only on a local master, where
+    all tasks share the machine, a private folder is made when nothing is set;
+    elsewhere that is an error, because other machines would not see it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on {sc.master}: "
+                               "name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerwatch-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -68,3 +73,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     return path
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch folders whose job is done."""
+    jvm = spark._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -59,6 +59,12 @@ def _versions(df: DataFrame, frm: str = HIST_FROM) -> DataFrame:
               .withColumn("effective_to", end_ts()))
 
 
+def _amount():
+    """The event's value with three more decimals, taken from its id."""
+    return (F.col("value").cast("decimal(18,2)")
+            + (F.col("event_id") % 1000).cast("decimal(4,0)") * F.lit("0.00001").cast("decimal(6,5)"))
+
+
 # ---------------------------------------------------------------- rule inputs
 def transactions(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
@@ -67,7 +73,7 @@ def transactions(spark, sf_dir) -> DataFrame:
         _to_second("ts").alias("trans_date"),
         _s("C", "user_id").alias("card_num"),
         F.col("event_type").alias("oper_type"),
-        F.col("value").cast("decimal(18,2)").alias("amt"),
+        _amount().cast("decimal(38,10)").alias("amt"),
         F.when(F.col("event_type") == "error", "REJECT").otherwise("SUCCESS").alias("oper_result"),
         F.concat(F.lit("T"), (F.col("event_id") % 10).cast("string")).alias("terminal"))
 
@@ -229,7 +235,7 @@ SQL_VIEWS = {
     "tx": """
 SELECT 't' || event_id AS trans_id, date_trunc('second', ts) AS trans_date,
        'C' || user_id AS card_num, event_type AS oper_type,
-       CAST(value AS DECIMAL(18,2)) AS amt,
+       CAST(CAST(value AS DECIMAL(18,2)) + CAST(event_id % 1000 AS DECIMAL(4,0)) * CAST('0.00001' AS DECIMAL(6,5)) AS DECIMAL(38,10)) AS amt,
        CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
        'T' || (event_id % 10) AS terminal
 FROM events""",
@@ -343,7 +349,7 @@ def raw_transactions(spark, sf_dir) -> DataFrame:
     _late (row arrives in the next day's file)."""
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    amt = F.col("value").cast("decimal(18,2)").cast("string")
+    amt = _amount().cast("decimal(23,5)").cast("string")
     return ev.select(
         F.when(eid % 7 == 1, F.concat(F.lit(" t"), eid.cast("string"), F.lit(" ")))
          .otherwise(_s("t", "event_id")).alias("transaction_id"),
@@ -368,8 +374,8 @@ def raw_blacklist(spark, sf_dir) -> DataFrame:
 SQL_VIEWS["raw_tx"] = """
 SELECT CASE WHEN event_id % 7 = 1 THEN ' t' || event_id || ' ' ELSE 't' || event_id END AS transaction_id,
        strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS transaction_date,
-       CASE WHEN event_id % 3 = 0 THEN replace(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
-            ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
+       CASE WHEN event_id % 3 = 0 THEN replace(CAST(CAST(CAST(value AS DECIMAL(18,2)) + CAST(event_id % 1000 AS DECIMAL(4,0)) * CAST('0.00001' AS DECIMAL(6,5)) AS DECIMAL(23,5)) AS VARCHAR), '.', ',')
+            ELSE CAST(CAST(CAST(value AS DECIMAL(18,2)) + CAST(event_id % 1000 AS DECIMAL(4,0)) * CAST('0.00001' AS DECIMAL(6,5)) AS DECIMAL(23,5)) AS VARCHAR) END AS amount,
        CASE WHEN event_id % 5 = 2 THEN 'C' || user_id || '  ' ELSE 'C' || user_id END AS card_num,
        event_type AS oper_type,
        CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,

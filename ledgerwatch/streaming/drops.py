@@ -3,8 +3,9 @@
 The file source remembers which drops it has consumed (checkpoint), reads
 one file per micro-batch, and each micro-batch is the usual strict-watermark
 fact load committed through the warehouse manifest. The manifest also
-records the last committed epoch, so a micro-batch replayed after a failure
-is skipped instead of appended twice.
+records the last committed epoch of each stream (by the id its checkpoint
+carries), so a micro-batch replayed after a failure is skipped instead of
+appended twice, and a stream with a new checkpoint starts on its own count.
 
 Differences from the batch loader: the file source orders drops by
 modification time, not by the date in the name; archiving is left to the
@@ -13,13 +14,16 @@ source's ``cleanSource`` option.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwatch.operators import capture
-from ledgerwatch.plans.store import Warehouse
+from ledgerwatch.plans.store import Warehouse, read_text
 from ledgerwatch.schemas import DELIMITER, EPOCH_TS, PATTERN_TRANSACTIONS, RAW_TRANSACTION_COLUMNS
+from ledgerwatch.sources.files import own_name
 
 FMT = "%Y-%m-%d %H:%M:%S"
 
@@ -34,17 +38,25 @@ def transaction_drop_stream(spark: SparkSession, drop_dir: str, archive_dir: str
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.csv(drop_dir)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
-    return df.withColumn("source_file", name).filter(F.col("source_file").rlike("^" + PATTERN_TRANSACTIONS))
+    return df.withColumn("source_file", own_name()).filter(F.col("source_file").rlike("^" + PATTERN_TRANSACTIONS))
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint folder for life."""
+    text = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if text is None:
+        raise FileNotFoundError(f"{checkpoint} is not the checkpoint of a started stream")
+    return json.loads(text)["id"]
 
 
-def load_transactions_batch(spark: SparkSession, warehouse: str, table: str = "fact_transactions"):
+def load_transactions_batch(spark: SparkSession, warehouse: str, checkpoint: str,
+                            table: str = "fact_transactions"):
     """foreachBatch body: capture above the watermark, append, publish."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         wh = Warehouse(spark, warehouse)
-        done = wh.manifest.setdefault("stream_epochs", {}).get(table, -1)
-        if epoch_id <= done:
+        key = f"{table}/{stream_id(spark, checkpoint)}"
+        if epoch_id <= wh.manifest.setdefault("stream_epochs", {}).get(key, -1):
             return
         wm = wh.watermark(table) or EPOCH_TS
         staged = capture.stage_transactions(batch, wm).withColumn("trans_day", F.to_date("trans_date"))
@@ -52,7 +64,7 @@ def load_transactions_batch(spark: SparkSession, warehouse: str, table: str = "f
         mx = written.agg(F.max("trans_date").alias("m")).first().m
         if mx is not None and mx.strftime(FMT) > wm:
             wh.set_watermark(table, mx.strftime(FMT))
-        wh.manifest["stream_epochs"][table] = epoch_id
+        wh.manifest.setdefault("stream_epochs", {})[key] = epoch_id
         wh.publish()
 
     return run
@@ -62,7 +74,7 @@ def run_available(spark: SparkSession, drop_dir: str, warehouse: str, checkpoint
                   archive_dir: str | None = None) -> None:
     """Process every drop present now, one file per micro-batch, then stop."""
     q = (transaction_drop_stream(spark, drop_dir, archive_dir)
-         .writeStream.foreachBatch(load_transactions_batch(spark, warehouse))
+         .writeStream.foreachBatch(load_transactions_batch(spark, warehouse, checkpoint))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

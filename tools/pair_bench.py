@@ -65,7 +65,8 @@ def main() -> None:
     def counts():
         r = ev.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("card_num"),
                       F.col("ts").alias("trans_date"), F.col("event_type").alias("terminal_city"))
-        return city_pair_rows(r).agg(F.sum("later_partners")).first()[0]
+        cells = r.groupBy("card_num", "trans_date", "terminal_city").agg(F.count(F.lit(1)).alias("n_rows"))
+        return city_pair_rows(cells).agg(F.sum("later_partners")).first()[0]
 
     out = {}
     for name, fn in (("plain", plain), ("bucketed", bucketed), ("counts", counts)):
