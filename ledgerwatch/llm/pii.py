@@ -90,13 +90,13 @@ def _gated(gate: Column, pattern: str, keep) -> Column:
 
 
 def base_spans(documents: DataFrame) -> DataFrame:
-    """documents with text (null: empty) and an array column for each base kind."""
+    """documents with text (null: empty) and an array column, __ and its name, for each base kind."""
     digits = F.regexp_replace
     return (documents.withColumn("text", F.coalesce("text", F.lit("")))
-            .withColumn("email", _gated(F.contains("text", F.lit("@")), EMAIL, lambda h: F.lit(True)))
-            .withColumn("ip", _gated(F.col("text").rlike(r"[0-9]\.[0-9]"), IP, _octets))
-            .withColumn("card", _gated(F.col("text").rlike(r"[0-9](?:[\x20-]?+[0-9]){12}"), CARD, _luhn))
-            .withColumn("phone", _gated(F.contains("text", F.lit("+")), PHONE,
+            .withColumn("__email", _gated(F.contains("text", F.lit("@")), EMAIL, lambda h: F.lit(True)))
+            .withColumn("__ip", _gated(F.col("text").rlike(r"[0-9]\.[0-9]"), IP, _octets))
+            .withColumn("__card", _gated(F.col("text").rlike(r"[0-9](?:[\x20-]?+[0-9]){12}"), CARD, _luhn))
+            .withColumn("__phone", _gated(F.contains("text", F.lit("+")), PHONE,
                                         lambda h: F.length(digits(h, "[^0-9]", "")).between(9, 15))))
 
 
@@ -105,13 +105,13 @@ def _chars(text: Column, start: Column, end: Column) -> Column:
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
-    """Adds ``candidates``: (kind, start, end, votes, features) of the wide net, without
+    """Adds ``__candidates``: (kind, start, end, votes, features) of the wide net, without
     those that overlap a base span."""
     text = F.col("text")
     gate = text.rlike("[0-9]")
-    net = rows.withColumn("secret", _gated(gate, SECRET, lambda h: F.lit(True)))
-    net = net.withColumn("local_phone", _gated(gate, LOCAL_PHONE, lambda h: F.lit(True)))
-    base = F.concat(*[F.col(k) for k in KINDS])
+    net = rows.withColumn("__secret", _gated(gate, SECRET, lambda h: F.lit(True)))
+    net = net.withColumn("__local_phone", _gated(gate, LOCAL_PHONE, lambda h: F.lit(True)))
+    base = F.concat(*[F.col(f"__{k}") for k in KINDS])
 
     def free(s: Column) -> Column:
         return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
@@ -148,8 +148,8 @@ def _candidates(rows: DataFrame) -> DataFrame:
                             F.concat(*votes).alias("votes"), F.array(*[F.concat(F.lit(f"{i}:"), f) for i, f in enumerate(features)]).alias("features"))
         return one
 
-    found = F.concat(*[F.transform(F.filter(F.col(k), free), described(k)) for k in ADDED])
-    return net.withColumn("candidates", found).drop(*ADDED)
+    found = F.concat(*[F.transform(F.filter(F.col(f"__{k}"), free), described(k)) for k in ADDED])
+    return net.withColumn("__candidates", found).drop(*[f"__{k}" for k in ADDED])
 
 
 def reliabilities(counts: dict[tuple[str, str], int], steps: int = 100) -> tuple[dict[str, float], dict[tuple[str, str], float]]:
@@ -215,7 +215,7 @@ def classifier(rows: list[tuple[str, list[str], float, float]], steps: int = 300
 
 def fit(rows: DataFrame) -> tuple[dict[str, dict[str, float]], dict[str, float]]:
     """The span classifier and the labelers' reliabilities, from all candidates of ``rows``."""
-    one = rows.select(F.explode("candidates").alias("c")).select("c.kind", "c.votes", "c.features")
+    one = rows.select(F.explode("__candidates").alias("c")).select("c.kind", "c.votes", "c.features")
     patterns = one.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n")).collect()  # a bounded set of patterns
     counts: dict[tuple[str, str], int] = defaultdict(int)
     for r in patterns:
@@ -241,7 +241,7 @@ def _accepted(weights: dict[str, dict[str, float]]) -> Column:
             out = F.when(c["kind"] == kind, total(c, w)).otherwise(out)
         return out
 
-    good = F.filter("candidates", lambda c: score(c) > 0)
+    good = F.filter("__candidates", lambda c: score(c) > 0)
     short = F.transform(good, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind")))
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     return F.aggregate(F.array_sort(short), none, lambda acc, c: F.when(
@@ -249,24 +249,24 @@ def _accepted(weights: dict[str, dict[str, float]]) -> Column:
 
 
 def spans(documents: DataFrame, weights: dict[str, dict[str, float]] | None = None) -> DataFrame:
-    """documents with text made non-null, an array column per base kind, and ``added``:
-    (start, end, kind) of the method's own spans."""
+    """documents with text made non-null, an array column per base kind (__email and so on),
+    and ``__added``: (start, end, kind) of the method's own spans."""
     rows = _candidates(base_spans(documents))
     if weights is None:
         weights = fit(rows)[0]
-    return rows.withColumn("added", _accepted(weights)).drop("candidates")
+    return rows.withColumn("__added", _accepted(weights)).drop("__candidates")
 
 
 def _joined(kind: str) -> Column:
-    return F.transform(kind, lambda s: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")))
+    return F.transform(f"__{kind}", lambda s: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")))
 
 
 def _of_kind(kind: str) -> Column:
-    return F.filter("added", lambda s: s["kind"] == kind)
+    return F.filter("__added", lambda s: s["kind"] == kind)
 
 
 def _marked(kind: str) -> Column:
-    return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+    return F.transform(f"__{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
 def op9_pii_weak_supervision(spark, sf_dir: str) -> DataFrame:
@@ -274,7 +274,7 @@ def op9_pii_weak_supervision(spark, sf_dir: str) -> DataFrame:
     base = F.concat(*[_joined(k) for k in KINDS])
     added = [F.transform(_of_kind(k), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
              for k in ADDED]
-    return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
+    return found.select("doc_id", *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in KINDS],
                         F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
                         F.array_join(F.concat(base, *added), ",").alias("spans"))
 
@@ -282,7 +282,7 @@ def op9_pii_weak_supervision(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every span replaced by its kind in brackets, and n_chars made to fit."""
     found = spans(docs)
-    every = F.array_sort(F.concat(*[_marked(k) for k in KINDS], F.col("added")))
+    every = F.array_sort(F.concat(*[_marked(k) for k in KINDS], F.col("__added")))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
