@@ -24,7 +24,14 @@ def _star(edges: DataFrame, large: bool, step: str) -> DataFrame:
                     .select("u", F.least("u", "m").alias("m")), f"{step}-least")
     kept = both.where("v > u") if large else both
     moved = kept.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return (moved if large else moved.unionByName(least.select("u", F.col("m").alias("v")))).distinct()
+    return moved if large else moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def _is_done(edges: DataFrame) -> bool:
+    """Every u has one v, and no v is a u."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -33,10 +40,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     self-loops, repeated edges and either direction are fine."""
     edges = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), f"{name}-edges")
-    state = None
-    while True:
+    while not _is_done(edges):
         edges = written(_star(written(_star(edges, True, name), f"{name}-large"), False, name), f"{name}-small")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

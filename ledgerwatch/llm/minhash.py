@@ -10,7 +10,8 @@ their full sets.
 A bucket is never expanded into all its pairs. Its members are first confirmed
 against one hub, the class with the smallest document id. Then only members of
 buckets that still hold more than one component are compared, across
-components, by their bitmaps in blocks.
+components, in blocks of bounded size; a task unites what it finds linked and
+passes on only the links that united something.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and links with nothing; a text of fewer than five words is one shingle;
@@ -41,7 +42,8 @@ BITS = 512
 THRESHOLD = 85
 #: Six standard deviations of the bitmap's estimate at the threshold.
 SLACK = 0.17
-BLOCK = 512
+#: Members of a bucket, and bytes of their sets, in one block.
+BLOCK, BLOCK_BYTES = 2048, 16 << 20
 
 _A = (tk.mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
 _B = tk.mix(np.arange(1001, SAMPLES + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -170,6 +172,11 @@ def _full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             .join(wanted.select("k"), "k", "left_semi").dropDuplicates(["k"]))
 
 
+def _sets_of(documents: DataFrame, classes: DataFrame, ks: DataFrame, step: str) -> DataFrame:
+    wanted = written(ks.distinct().join(classes.select("k", "doc_id"), "k"), f"wanted-{step}")
+    return written(_full_sets(documents, wanted), f"sets-{step}")
+
+
 def _near(pairs: DataFrame, odd: DataFrame) -> DataFrame:
     """Pairs whose bitmaps differ in few enough bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,31 +192,80 @@ def _near(pairs: DataFrame, odd: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "oa", "ob").mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(members: DataFrame) -> DataFrame:
-    """Near pairs across components within buckets. members: bucket, size, k, comp, odd.
-    A bucket is cut into blocks; a task holds two blocks of one bucket."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    m = members.withColumn("n", blocks).withColumn("blk", F.pmod(F.xxhash64("k", F.lit(7)), F.col("n")).cast("int"))
+class _Members:
+    """Members of one bucket (of one pair of its blocks): who is near whom across components."""
+
+    def __init__(self, rows: pa.Table):
+        self.k, comp, blk = (rows.column(c).to_numpy() for c in ("k", "comp", "blk"))
+        self.n = rows.column("n").to_numpy()
+        self.odd = np.frombuffer(b"".join(rows.column("odd").to_pylist()), np.uint64).reshape(len(self.k), -1)
+        self.bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(self.k), -1)
+        self.bucket, lo, hi = (rows.column(c)[0].as_py() for c in ("bucket", "lo", "hi"))
+        self.first = int(np.argmax(self.bands[0] == self.bucket))
+        self.label = np.unique(comp, return_inverse=True)[1]
+        self.lower, self.upper, self.same = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi), lo == hi
+
+    def near(self, i: int) -> np.ndarray:
+        """Members of other components, nearest first, whose bitmaps are near that of i and
+        that share no earlier band with it."""
+        js = self.upper[self.upper > i] if self.same else self.upper
+        js = js[self.label[js] != self.label[i]]
+        apart = np.bitwise_count(self.odd[js] ^ self.odd[i]).sum(axis=1)
+        small, big = np.minimum(self.n[js], self.n[i]), np.maximum(self.n[js], self.n[i])
+        keep = (apart <= MAX_BITS) & (100 * small >= THRESHOLD * big)
+        js, apart = js[keep], apart[keep]
+        if self.first:
+            new = ~(self.bands[js, :self.first] == self.bands[i, :self.first]).any(axis=1)
+            js, apart = js[new], apart[new]
+        return js[np.argsort(apart, kind="stable")]
+
+
+def _involved(rows: pa.Table) -> list[tuple[int, int]]:
+    """(bucket, k) of the members that are near one of another component."""
+    m, out = _Members(rows), set()
+    for i in m.lower:
+        js = m.near(i)
+        if len(js):
+            out.update([i, *js.tolist()])
+    return [(m.bucket, int(m.k[i])) for i in sorted(out)]
+
+
+def _links(rows: pa.Table) -> list[tuple[int, int]]:
+    """Confirmed links (a, b), as many as unite what is linked. Full sets are compared only
+    while an earlier link has not united the two."""
+    m, out = _Members(rows), []
+    items = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("items")]
+    for i in m.lower:
+        js = m.near(i)
+        step = 4  # the nearest first: a link there settles the rest of its component
+        while len(js):
+            now, js = js[:step], js[step:]
+            flat = np.concatenate([items[j] for j in now])
+            at = np.searchsorted(items[i], flat)
+            at[at == m.n[i]] = 0
+            both = np.add.reduceat((items[i][at] == flat).astype(np.int64), np.concatenate(([0], np.cumsum(m.n[now])[:-1])))
+            for j in now[100 * both >= THRESHOLD * (m.n[i] + m.n[now] - both)]:
+                if m.label[j] != m.label[i]:
+                    out.append((int(m.k[i]), int(m.k[j])))
+                    m.label[m.label == m.label[j]] = m.label[i]
+            js = js[m.label[js] != m.label[i]]
+            step = min(4 * step, 256)
+    return out
+
+
+def _by_blocks(members: DataFrame, find, names: tuple[str, str]) -> DataFrame:
+    """Pairs that ``find`` returns for each two blocks of each bucket. members: bucket, blocks,
+    k, comp, n, odd, bands and what find needs. A task holds two blocks, of bounded size."""
+    columns = [c for c in members.columns if c not in ("bucket", "blocks")]
+    m = members.withColumn("blk", F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int"))
     # Each member meets every block of its bucket: (lower block, upper block).
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    m = m.select("bucket", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "k", "comp", "odd")
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+    m = m.select("bucket", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", *columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows: pa.Table) -> pa.RecordBatch:
-            k, comp, blk = (rows.column(c).to_numpy() for c in ("k", "comp", "blk"))
-            odd = np.frombuffer(b"".join(rows.column("odd").to_pylist()), np.uint64).reshape(len(k), -1)
-            lo, hi = rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py()
-            one, two = np.flatnonzero(blk == lo), np.flatnonzero(blk == hi)
-            a, b = [], []
-            for i in one:
-                js = two[(comp[two] != comp[i])]
-                if lo == hi:
-                    js = js[js > i]
-                js = js[np.bitwise_count(odd[js] ^ odd[i]).sum(axis=1) <= MAX_BITS]
-                a.append(np.minimum(k[js], k[i]))
-                b.append(np.maximum(k[js], k[i]))
-            cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-            return pa.RecordBatch.from_arrays([cat(a), cat(b)], names=["a", "b"])
+        def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            found = find(pa.Table.from_batches(held))
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=list(names))
 
         held: list[pa.RecordBatch] = []
         now = None
@@ -218,47 +274,49 @@ def _open_pairs(members: DataFrame) -> DataFrame:
             at = 0
             for i in range(1, len(keys) + 1):
                 if i == len(keys) or keys[i] != keys[at]:
-                    if now is not None and now != keys[at] and held:
-                        yield flush(pa.Table.from_batches(held))
+                    if held and now != keys[at]:
+                        yield flush(held)
                         held = []
                     now = keys[at]
                     held.append(batch.slice(at, i - at))
                     at = i
         if held:
-            yield flush(pa.Table.from_batches(held))
+            yield flush(held)
 
     return (m.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, f"{names[0]} long, {names[1]} long").distinct())
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of documents, and k1: the set's name."""
     rows = written(sketch(documents), "sketch")
     classes = written(rows.where("k1 is not null").groupBy("k1", "k2")
-                      .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
+                      .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
                       .withColumnRenamed("k1", "k"), "classes")
-    odd = classes.select("k", "odd")
     banded = classes.select("k", "doc_id", F.explode("bands").alias("bucket"))
-    hubs = (banded.groupBy("bucket").agg(F.min(F.struct("doc_id", "k")).alias("hub"), F.count(F.lit(1)).alias("size"))
-            .where("size > 1").select("bucket", F.col("hub.k").alias("a"), "size"))
+    hubs = (banded.groupBy("bucket").agg(F.min_by("k", "doc_id").alias("hub"), F.min("k").alias("some"), F.count(F.lit(1)).alias("size"))
+            .where("size > 1").select("bucket", F.coalesce("hub", "some").alias("a"), "size"))
     shared = written(banded.select("bucket", "k").join(written(hubs, "hubs"), "bucket"), "shared")
 
-    def confirmed(pairs: DataFrame, step: str) -> DataFrame:
-        near = written(_near(pairs, odd), f"near-{step}")
-        wanted = near.select(F.col("a").alias("k")).union(near.select("b")).distinct().join(classes.select("k", "doc_id"), "k")
-        sets = written(_full_sets(documents, written(wanted, f"wanted-{step}")), f"sets-{step}")
-        return written(_confirm(near, sets), f"links-{step}")
-
-    star = confirmed(shared.where("a <> k").select("a", F.col("k").alias("b")).distinct(), "star")
+    near = written(_near(shared.where("a <> k").select("a", F.col("k").alias("b")).distinct(), classes.select("k", "odd")), "near")
+    sets = _sets_of(documents, classes, near.select(F.col("a").alias("k")).union(near.select("b")), "star")
+    star = written(_confirm(near, sets), "links")
     comp = components(star.select(F.col("a").alias("u"), F.col("b").alias("v")), "star")
     # Buckets of three or more that more than one component shares: members other than the hub
-    # haven't met each other yet.
+    # haven't met each other yet. By their bitmaps most need no look at the full sets.
     labelled = (shared.where("size > 2").join(comp.withColumnRenamed("node", "k"), "k", "left")
-                .select("bucket", "k", "size", F.coalesce("component", "k").alias("comp")))
+                .select("bucket", "k", F.coalesce("component", "k").alias("comp")))
     labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    members = labelled.join(written(mixed, "mixed"), "bucket", "left_semi").join(odd, "k")
-    rest = confirmed(written(_open_pairs(members), "open").join(star, ["a", "b"], "left_anti"), "open")
+    mixed = (labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size"))
+             .where("x <> y").select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks")))
+    members = (labelled.join(written(mixed, "mixed"), "bucket").join(classes.select("k", "n", "odd", "bands"), "k"))
+    involved = written(_by_blocks(members, _involved, ("bucket", "k")), "involved")
+    left = written(labelled.join(involved, ["bucket", "k"], "left_semi").join(classes.select("k", "n", "odd", "bands"), "k"), "left")
+    sizes = left.groupBy("bucket").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks"))
+    # Most of them were read for the hubs' pairs already.
+    missing = left.select("k").distinct().join(sets.select("k"), "k", "left_anti")
+    sets = sets.unionByName(_sets_of(documents, classes, missing, "open"))
+    rest = written(_by_blocks(left.join(written(sizes, "sizes"), "bucket").join(sets, "k"), _links, ("a", "b")), "open")
     every = star.unionByName(rest).select(F.col("a").alias("u"), F.col("b").alias("v"))
     final = components(every, "all") if rest.take(1) else comp
     named = (classes.select("k", "doc_id").join(final.withColumnRenamed("node", "k"), "k", "left")
