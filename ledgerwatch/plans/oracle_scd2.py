@@ -5,10 +5,50 @@ the rewrite."""
 
 from __future__ import annotations
 
-from ledgerwatch.operators.capture import FILE_DIMENSIONS, SOURCE_COLUMNS
-from ledgerwatch.schemas import DIMENSIONS, END_TS, EPOCH_TS, DimSpec
+from dataclasses import dataclass
+
 from ledgerwatch.sources.testtables import RUN_TS, sql_source_snapshot
 
+# Spelled out here, apart from the engine's own lists, so that a wrong key, tracked
+# column or mapping there shows as a mismatch.
+END_TS = "9999-01-01 00:00:00"
+EPOCH_TS = "1900-01-01 00:00:00"
+
+
+@dataclass(frozen=True)
+class DimSpec:
+    name: str
+    key: str
+    tracked: tuple[str, ...]
+    times: tuple[str, ...]  # timestamps; all other business columns are strings
+
+    @property
+    def business(self) -> tuple[str, ...]:
+        return (self.key, *self.tracked)
+
+    @property
+    def types(self) -> dict:
+        return {c: "timestamp_ntz" if c in self.times else "string" for c in self.business}
+
+
+DIMENSIONS = {
+    "terminals": DimSpec("terminals", "terminal_id", ("terminal_type", "terminal_city", "terminal_address"), ()),
+    "cards": DimSpec("cards", "card_num", ("account_num",), ()),
+    "accounts": DimSpec("accounts", "account_num", ("valid_to", "client"), ("valid_to",)),
+    "clients": DimSpec("clients", "client_id",
+                       ("last_name", "first_name", "patronymic", "date_of_birth", "passport_num", "passport_valid_to", "phone"),
+                       ("date_of_birth", "passport_valid_to")),
+}
+# Target column -> source column.
+SOURCE_COLUMNS = {
+    "terminals": {c: c for c in ("terminal_id", "terminal_type", "terminal_city", "terminal_address")},
+    "cards": {"card_num": "card_num", "account_num": "account"},
+    "accounts": {"account_num": "account", "valid_to": "valid_to", "client": "client"},
+    "clients": {c: c for c in ("client_id", "last_name", "first_name", "patronymic", "date_of_birth", "passport_num",
+                               "passport_valid_to", "phone")},
+}
+FILE_DIMENSIONS = {"terminals"}
+
 END = f"TIMESTAMP '{END_TS}'"
 
 

@@ -59,12 +59,24 @@ def _versions(df: DataFrame, frm: str = HIST_FROM) -> DataFrame:
               .withColumn("effective_to", end_ts()))
 
 
+def _old(df: DataFrame, deleted: str = "n") -> DataFrame:
+    return (df.withColumn("deleted_flg", F.lit(deleted))
+              .withColumn("effective_from", lit_ts(OLD_FROM))
+              .withColumn("effective_to", lit_ts(OLD_TO)))
+
+
 def _amount():
     """The event's value with three more decimals, taken from its id."""
     return (F.col("value").cast("decimal(18,2)")
             + (F.col("event_id") % 1000).cast("decimal(4,0)") * F.lit("0.00001").cast("decimal(6,5)"))
 
 
+def _terminal_of(spark, sf_dir):
+    """An event's terminal: over the whole range of supplier keys."""
+    last = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey")).scalar()
+    return F.concat(F.lit("T"), (F.col("event_id") % (last + 1)).cast("string"))
+
+
 # ---------------------------------------------------------------- rule inputs
 def transactions(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
@@ -75,11 +87,11 @@ def transactions(spark, sf_dir) -> DataFrame:
         F.col("event_type").alias("oper_type"),
         _amount().cast("decimal(38,10)").alias("amt"),
         F.when(F.col("event_type") == "error", "REJECT").otherwise("SUCCESS").alias("oper_result"),
-        F.concat(F.lit("T"), (F.col("event_id") % 10).cast("string")).alias("terminal"))
+        _terminal_of(spark, sf_dir).alias("terminal"))
 
 
 def terminals_hist(spark, sf_dir) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < 10)
+    s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     base = s.join(n, s.s_nationkey == n.n_nationkey).select(
         _s("T", "s_suppkey").alias("terminal_id"),
@@ -98,25 +110,32 @@ def terminals_hist(spark, sf_dir) -> DataFrame:
 
 def cards_hist(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 13 != 12)
-    return _versions(c.select(_s("C", "c_custkey").alias("card_num"),
-                              _s("A", "c_custkey").alias("account_num")))
+    n = F.col("c_custkey")
+    now = _versions(c.select(_s("C", "c_custkey").alias("card_num"), _s("A", "c_custkey").alias("account_num")))
+    # Some cards hung on another account before; some were deleted. Rules join all versions.
+    other = F.concat(F.lit("A"), (n + 7).cast("string"))
+    return (now.unionByName(_old(c.filter(n % 10 == 4).select(_s("C", "c_custkey").alias("card_num"), other.alias("account_num"))))
+               .unionByName(_old(c.filter(n % 23 == 7).select(_s("C", "c_custkey").alias("card_num"), _s("A", "c_custkey").alias("account_num")), "y")))
 
 
 def accounts_hist(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = F.col("c_custkey")
-    return _versions(c.select(
+    now = _versions(c.select(
         _s("A", "c_custkey").alias("account_num"),
         F.when(n % 17 == 0, F.lit(None).cast("timestamp_ntz"))
          .otherwise(_day_plus("2024-01-01", n % 60)).alias("valid_to"),
         _s("P", "c_custkey").alias("client")))
+    return now.unionByName(_old(c.filter(n % 9 == 2).select(
+        _s("A", "c_custkey").alias("account_num"), lit_ts("2024-01-12 00:00:00").alias("valid_to"),
+        _s("P", "c_custkey").alias("client"))))
 
 
 def clients_hist(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 19 != 18)
     nat = table(spark, sf_dir, "nation")
     n = F.col("c_custkey")
-    return _versions(c.join(nat, c.c_nationkey == nat.n_nationkey).select(
+    now = _versions(c.join(nat, c.c_nationkey == nat.n_nationkey).select(
         _s("P", "c_custkey").alias("client_id"),
         F.col("c_name").alias("last_name"),
         F.col("n_name").alias("first_name"),
@@ -126,6 +145,10 @@ def clients_hist(spark, sf_dir) -> DataFrame:
         F.when(n % 6 == 0, F.lit(None).cast("timestamp_ntz"))
          .otherwise(_day_plus("2024-01-05", n % 90)).alias("passport_valid_to"),
         _s("+7", "c_custkey").alias("phone")))
+    old = (now.drop("deleted_flg", "effective_from", "effective_to").filter(F.substring("phone", 3, 20).cast("long") % 12 == 5)
+              .withColumn("passport_num", F.concat("passport_num", F.lit("X")))
+              .withColumn("passport_valid_to", lit_ts("2024-01-20 00:00:00")))
+    return now.unionByName(_old(old, "y"))
 
 
 def blacklist(spark, sf_dir) -> DataFrame:
@@ -237,30 +260,39 @@ SELECT 't' || event_id AS trans_id, date_trunc('second', ts) AS trans_date,
        'C' || user_id AS card_num, event_type AS oper_type,
        CAST(CAST(value AS DECIMAL(18,2)) + CAST(event_id % 1000 AS DECIMAL(4,0)) * CAST('0.00001' AS DECIMAL(6,5)) AS DECIMAL(38,10)) AS amt,
        CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
-       'T' || (event_id % 10) AS terminal
+       'T' || (event_id % (SELECT max(s_suppkey) + 1 FROM supplier)) AS terminal
 FROM events""",
     "term_h": f"""
 SELECT 'T' || s_suppkey AS terminal_id,
        CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END AS terminal_type,
        n_name AS terminal_city, s_name AS terminal_address, 'n' AS deleted_flg,
        TIMESTAMP '{HIST_FROM}' AS effective_from, TIMESTAMP '{END_TS}' AS effective_to
-FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey < 10
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
 UNION ALL
 SELECT 'T' || s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'ATM' ELSE 'POS' END,
        'OLD_' || n_name, s_name, 'n', TIMESTAMP '{OLD_FROM}', TIMESTAMP '{OLD_TO}'
 FROM supplier JOIN nation ON s_nationkey = n_nationkey
-WHERE s_suppkey < 10 AND s_suppkey % 5 = 0""",
+WHERE s_suppkey % 5 = 0""",
     "card_h": f"""
 SELECT 'C' || c_custkey AS card_num, 'A' || c_custkey AS account_num, 'n' AS deleted_flg,
        TIMESTAMP '{HIST_FROM}' AS effective_from, TIMESTAMP '{END_TS}' AS effective_to
-FROM customer WHERE c_custkey % 13 <> 12""",
+FROM customer WHERE c_custkey % 13 <> 12
+UNION ALL
+SELECT 'C' || c_custkey, 'A' || (c_custkey + 7), 'n', TIMESTAMP '{OLD_FROM}', TIMESTAMP '{OLD_TO}'
+FROM customer WHERE c_custkey % 13 <> 12 AND c_custkey % 10 = 4
+UNION ALL
+SELECT 'C' || c_custkey, 'A' || c_custkey, 'y', TIMESTAMP '{OLD_FROM}', TIMESTAMP '{OLD_TO}'
+FROM customer WHERE c_custkey % 13 <> 12 AND c_custkey % 23 = 7""",
     "acct_h": f"""
 SELECT 'A' || c_custkey AS account_num,
        CASE WHEN c_custkey % 17 = 0 THEN NULL
             ELSE CAST(DATE '2024-01-01' + CAST(c_custkey % 60 AS INTEGER) AS TIMESTAMP) END AS valid_to,
        'P' || c_custkey AS client, 'n' AS deleted_flg,
        TIMESTAMP '{HIST_FROM}' AS effective_from, TIMESTAMP '{END_TS}' AS effective_to
-FROM customer""",
+FROM customer
+UNION ALL
+SELECT 'A' || c_custkey, TIMESTAMP '2024-01-12 00:00:00', 'P' || c_custkey, 'n', TIMESTAMP '{OLD_FROM}', TIMESTAMP '{OLD_TO}'
+FROM customer WHERE c_custkey % 9 = 2""",
     "cli_h": f"""
 SELECT 'P' || c_custkey AS client_id, c_name AS last_name, n_name AS first_name,
        CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS patronymic,
@@ -270,7 +302,12 @@ SELECT 'P' || c_custkey AS client_id, c_name AS last_name, n_name AS first_name,
             ELSE CAST(DATE '2024-01-05' + CAST(c_custkey % 90 AS INTEGER) AS TIMESTAMP) END AS passport_valid_to,
        '+7' || c_custkey AS phone, 'n' AS deleted_flg,
        TIMESTAMP '{HIST_FROM}' AS effective_from, TIMESTAMP '{END_TS}' AS effective_to
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 19 <> 18""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 19 <> 18
+UNION ALL
+SELECT 'P' || c_custkey, c_name, n_name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END,
+       CAST(DATE '1980-01-01' + CAST(c_custkey % 9000 AS INTEGER) AS TIMESTAMP), 'N' || c_custkey || 'X',
+       TIMESTAMP '2024-01-20 00:00:00', '+7' || c_custkey, 'y', TIMESTAMP '{OLD_FROM}', TIMESTAMP '{OLD_TO}'
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 19 <> 18 AND c_custkey % 12 = 5""",
     "bl": """
 SELECT 'N' || c_custkey AS passport_num,
        CAST(DATE '2024-01-10' + CAST(c_custkey % 20 AS INTEGER) AS TIMESTAMP) AS entry_dt
@@ -359,7 +396,7 @@ def raw_transactions(spark, sf_dir) -> DataFrame:
          .alias("card_num"),
         F.col("event_type").alias("oper_type"),
         F.when(F.col("event_type") == "error", "REJECT").otherwise("SUCCESS").alias("oper_result"),
-        F.concat(F.lit("T"), (eid % 10).cast("string")).alias("terminal"),
+        _terminal_of(spark, sf_dir).alias("terminal"),
         F.to_date("ts").alias("_day"),
         (eid % 50 == 0).alias("_late"))
 
@@ -379,6 +416,6 @@ SELECT CASE WHEN event_id % 7 = 1 THEN ' t' || event_id || ' ' ELSE 't' || event
        CASE WHEN event_id % 5 = 2 THEN 'C' || user_id || '  ' ELSE 'C' || user_id END AS card_num,
        event_type AS oper_type,
        CASE WHEN event_type = 'error' THEN 'REJECT' ELSE 'SUCCESS' END AS oper_result,
-       'T' || (event_id % 10) AS terminal,
+       'T' || (event_id % (SELECT max(s_suppkey) + 1 FROM supplier)) AS terminal,
        CAST(ts AS DATE) AS _day, event_id % 50 = 0 AS _late
 FROM events"""
