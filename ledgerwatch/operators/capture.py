@@ -124,6 +124,15 @@ def stage_dimension(spec: DimSpec, source: DataFrame, wm, run_ts: str) -> DataFr
          .alias("update_dt"))
 
 
+def stage_source(spec: DimSpec, source: DataFrame, wm, run_ts: str) -> DataFrame:
+    """All rows of one dimension source, cleaned, with ``_captured``: whether the watermark
+    lets the row in. One scan gives both the staged rows and the keys now present."""
+    cols = [_clean(spec, t, s) for t, s in SOURCE_COLUMNS[spec.name].items()]
+    when = lit_ts(run_ts) if spec.name in FILE_DIMENSIONS else F.col("update_dt")
+    captured = F.coalesce(when > _as_col(wm), F.lit(False)) | when.isNull()
+    return source.select(*cols, captured.alias("_captured"))
+
+
 def source_keys(spec: DimSpec, source: DataFrame, trim: bool = True) -> DataFrame:
     """All business keys now present in the source (for logical deletes).
     ``trim=False`` reproduces the untrimmed key list of the original loader."""

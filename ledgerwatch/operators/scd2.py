@@ -171,14 +171,42 @@ def _merge_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: Data
                              F.raise_error(F.concat(F.lit(f"duplicate staged {k}: "), F.col(k))))
                     .otherwise(F.col("_s")).alias("_s"),
                    F.when(F.col("_present"), F.lit(True)).alias("_present")))
-    j = t.join(s, k, "full")
+    return _resolve(spec, t.join(s, k, "full"), run_ts, revive_unchanged)
 
+
+def _source_frame(spec: DimSpec, latest: DataFrame, rows: DataFrame, run_ts: str,
+                  revive_unchanged: bool) -> DataFrame:
+    """As ``_merge_frame``, from ``capture.stage_source``: the source is scanned and dealt by
+    key once, and the sort by key that finds a key's staged row also serves the join.
+
+    Rows without a business key match nothing: each stands under a name of its
+    own, so they also spread over all tasks."""
+    k = spec.key
+
+    def named(df: DataFrame, mark: str) -> Column:
+        return F.coalesce(df[k], F.concat(F.lit(mark), F.monotonically_increasing_id().cast("string")))
+
+    t = latest.select(named(latest, "\u0001").alias("_k"), F.struct(*spec.history_columns).alias("_t"))
+    w = Window.partitionBy("_k").orderBy(F.desc("_captured"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    s = (rows.withColumn("_k", named(rows, "\u0000"))
+             .withColumn("_n", F.sum(F.col("_captured").cast("int")).over(whole))
+             .withColumn("_i", F.row_number().over(w)).filter("_i = 1"))
+    s = s.select("_k", F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit(f"duplicate staged {k}: "), F.col("_k"))))
+                        .when(F.col("_n") == 1, F.struct(*spec.business)).alias("_s"),
+                 F.lit(True).alias("_present"))
+    return _resolve(spec, t.join(s, "_k", "full"), run_ts, revive_unchanged)
+
+
+def _resolve(spec: DimSpec, j: DataFrame, run_ts: str, revive_unchanged: bool) -> DataFrame:
+    """What becomes of each key: _t latest row, _s staged row, _present in the source."""
     has_t, has_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
     t_open = has_t & is_open("_t.")
     differs = has_t & has_s & _differs(spec)
     revive = (has_t & (F.col("_t.deleted_flg") == FLAG_DELETED)) if revive_unchanged else F.lit(False)
     insert = has_s & (~has_t | differs | (has_s & revive))
-    gone = F.col("_present").isNull()
+    # A history row without a key is never deleted.
+    gone = F.col("_present").isNull() & F.coalesce(F.col(f"_t.{spec.key}"), F.col(f"_s.{spec.key}")).isNotNull()
     cutoff = minus_one_second(lit_ts(run_ts))
 
     def t_with(eff_to: Column, flag: Column) -> Column:
@@ -252,31 +280,40 @@ def merge_latest(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: Data
 
 def merge_latest_frame(spec: DimSpec, latest: DataFrame, staged: DataFrame, keys: DataFrame,
                        run_ts: str, revive_unchanged: bool = False) -> DataFrame:
-    m = _merge_frame(spec, latest, staged, keys, run_ts, revive_unchanged)
+    return _outcomes(_merge_frame(spec, latest, staged, keys, run_ts, revive_unchanged))
+
+
+def merge_source_frame(spec: DimSpec, latest: DataFrame, rows: DataFrame, run_ts: str,
+                       revive_unchanged: bool = False) -> DataFrame:
+    """``merge_latest_frame`` from one scan of the source (``capture.stage_source``); rows
+    without a key are in it too."""
+    return _outcomes(_source_frame(spec, latest, rows, run_ts, revive_unchanged))
+
+
+def _outcomes(m: DataFrame) -> DataFrame:
     return m.select(F.when(F.col("_insert"), F.col("_s_new")).otherwise(F.col("_t_new")).alias("_latest"),
                     F.when(F.col("_insert") & F.col("_has_t"), F.col("_t_new")).alias("_retired"),
                     (F.col("_has_t") | F.col("_insert")).alias("_keep"))
 
 
-def latest_and_retired(spec: DimSpec, m: DataFrame, latest: DataFrame, staged: DataFrame,
-                       run_ts: str) -> DataFrame:
-    """Both outputs of ``merge_latest_frame`` as one frame tagged by
+def latest_and_retired(spec: DimSpec, m: DataFrame) -> DataFrame:
+    """Both outputs of ``merge_source_frame`` as one frame tagged by
     ``_kind`` ('latest' | 'retired'), for a single write partitioned by it."""
-    k = spec.key
     cols = spec.history_columns
 
     def tagged(kind: str, src: str) -> Column:
         return F.struct(F.lit(kind).alias("_kind"), *[F.col(f"{src}.{c}").alias(c) for c in cols])
 
-    rows = (m.select(F.explode(F.filter(F.array(
+    return (m.select(F.explode(F.filter(F.array(
                 F.when(F.col("_keep"), tagged("latest", "_latest")),
                 F.when(F.col("_retired").isNotNull(), tagged("retired", "_retired"))),
                 lambda x: x.isNotNull())).alias("_v"))
              .select("_v.*"))
-    nulls = (latest.filter(F.col(k).isNull()).select(*cols)
-                   .unionByName(_null_key_inserts(spec, staged, run_ts))
-                   .select(F.lit("latest").alias("_kind"), *cols))
-    return rows.unionByName(nulls)
+
+
+def split_source(m: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(new latest, retired versions) of ``merge_source_frame``."""
+    return m.filter("_keep").select("_latest.*"), m.filter(F.col("_retired").isNotNull()).select("_retired.*")
 
 
 def split_latest(spec: DimSpec, m: DataFrame, latest: DataFrame, staged: DataFrame,

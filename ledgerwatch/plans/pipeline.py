@@ -100,13 +100,20 @@ def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str,
     source = spark.read.schema(source.schema).parquet(snap)
     latest = wh.read(f"dim_{entity}_latest", spec.history_schema())
     wm = wh.watermark(f"dim_{entity}_hist") or EPOCH_TS
-    staged = capture.stage_dimension(spec, source, wm, run_ts)
-    keys = capture.source_keys(spec, source, trim=not cfg.compat_untrimmed_keys)
     # The merge frame (one row per key) feeds two tables: persist it so the
     # join runs once; lost blocks are recomputed from lineage.
-    m = scd2.merge_latest_frame(spec, latest, staged, keys, run_ts, cfg.revive_unchanged)
-    m = m.persist(StorageLevel.MEMORY_AND_DISK)
-    new_latest, retired = scd2.split_latest(spec, m, latest, staged, run_ts)
+    if cfg.compat_untrimmed_keys:
+        staged = capture.stage_dimension(spec, source, wm, run_ts)
+        keys = capture.source_keys(spec, source, trim=False)
+        m = scd2.merge_latest_frame(spec, latest, staged, keys, run_ts, cfg.revive_unchanged)
+        m = m.persist(StorageLevel.MEMORY_AND_DISK)
+        new_latest, retired = scd2.split_latest(spec, m, latest, staged, run_ts)
+    else:
+        rows = capture.stage_source(spec, source, wm, run_ts)
+        staged = rows.filter("_captured")
+        m = scd2.merge_source_frame(spec, latest, rows, run_ts, cfg.revive_unchanged)
+        m = m.persist(StorageLevel.MEMORY_AND_DISK)
+        new_latest, retired = scd2.split_source(m)
     written = wh.stage(f"dim_{entity}_latest", new_latest)
     wh.append(f"dim_{entity}_archive", retired)
     m.unpersist()

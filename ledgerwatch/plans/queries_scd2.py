@@ -48,9 +48,9 @@ def replay(spark: SparkSession, sf_dir: str, entity: str, days: int,
     retired = []
     root = scratch_dir(spark, f"scd2-{entity}")
     for d in range(days):
-        _, staged, keys = day_inputs(spark, sf_dir, entity, d, latest)
-        m = scd2.merge_latest_frame(spec, latest, staged, keys, tt.RUN_TS[d])
-        rows = scd2.latest_and_retired(spec, m, latest, staged, tt.RUN_TS[d])
+        src = tt.source_snapshot(spark, sf_dir, entity, d)
+        staged = capture.stage_source(spec, src, _wm(latest), tt.RUN_TS[d])
+        rows = scd2.latest_and_retired(spec, scd2.merge_source_frame(spec, latest, staged, tt.RUN_TS[d]))
         if d == days - 1 and lazy_last:
             latest = rows.filter(F.col("_kind") == "latest").drop("_kind")
             retired.append(rows.filter(F.col("_kind") == "retired").drop("_kind"))

@@ -97,3 +97,39 @@ def test_rule3_windows_partition_by_card_and_bucket(spark):
     window_lines = [line for line in plan.split("\n") if "Window [sum(" in line]
     assert window_lines and all("_b#" in line for line in window_lines)
     _ = collections
+
+
+def test_a_dimension_load_scans_its_source_once(spark, tmp_path):
+    from ledgerwatch.operators import scd2
+    from ledgerwatch.schemas import DIMENSIONS
+    spec = DIMENSIONS["cards"]
+    src = tt.source_snapshot(spark, SF001, "cards", 1)
+    latest = scd2.empty_history(spark, spec)
+    latest.write.parquet(str(tmp_path / "latest"))
+    latest = spark.read.schema(spec.history_schema()).parquet(str(tmp_path / "latest"))
+    rows = capture.stage_source(spec, src, "1900-01-01 00:00:00", tt.RUN_TS[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = scd2.latest_and_retired(spec, scd2.merge_source_frame(spec, latest, rows, tt.RUN_TS[1]))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum("customer.parquet" in line for line in plan.split("\n")) == 1
+    assert "Union" not in plan and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning(_k#") == 2  # each side once
+
+
+def test_rows_without_a_key_are_inserted_and_kept(spark):
+    from ledgerwatch.operators import scd2
+    from ledgerwatch.schemas import DIMENSIONS
+    spec = DIMENSIONS["cards"]
+    t1, t2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+    cols = "card_num string, account_num string, _captured boolean"
+    first = spark.createDataFrame([(None, "A1", True), (None, "A2", True), (None, "A3", False), ("C1", "A1", True)], cols)
+    latest, _ = scd2.split_source(scd2.merge_source_frame(spec, scd2.empty_history(spark, spec), first, t1))
+    second = spark.createDataFrame([(None, "A1", True)], cols)
+    latest, retired = scd2.split_source(scd2.merge_source_frame(spec, latest, second, t2))
+    got = sorted((r.card_num or "", r.account_num, r.deleted_flg) for r in latest.collect())
+    assert got == [("", "A1", "n"), ("", "A1", "n"), ("", "A2", "n"), ("C1", "A1", "y")] and retired.count() == 0
+    with __import__("pytest").raises(Exception, match="duplicate staged card_num"):
+        scd2.merge_source_frame(spec, latest, spark.createDataFrame([("C1", "A1", True), ("C1", "A2", True)], cols), t2).collect()
