@@ -97,12 +97,13 @@ def test_chat_oracle_and_layout(spark):
             (4, 0, None, None), (4, 1, "assistant", None), (5, 0, "ro:le### \n", "x"), (5, 0, "ro:le### \n", "x"), (None, None, "assistant", "n"),
             (6, 0, "user", "hi"), (6, 1, "assistant", "a\\#<\n</turn>"), (6, 2, "user", "long " * 30_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("path", F.lit(1)).withColumn("n", F.lit(1))
-    convs = chat.turns_of(df)
+    convs = chat.compressed(chat.turns_of(df))
     nodes = chat.layout(convs)
     seg = {r.node: r for r in nodes.collect()}
     stream = "".join(r.formatted for r in sorted(seg.values(), key=lambda r: r.start))
-    assert len(seg) == len({tuple(p[:k + 1]) for p in (r.path for r in convs.collect()) for k in range(len(p))})
-    for r in seg.values():  # shared turns once, positions and attention by ancestors
+    assert len(seg) == len({tuple(p[:k + 1]) for p in (r.path for r in convs.collect()) for k in range(len(p))}) == 7
+    assert stream.count("hi</turn>") == 1 and stream.count("long " * 30_000) == 1  # shared turns once
+    for r in seg.values():  # positions and attention by ancestors
         assert stream[r.start:r.start + r.n] == r.formatted
         line, up = [], r.parent
         while up:
@@ -124,10 +125,19 @@ def test_chat_oracle_and_layout(spark):
         assert got[c].n_turns == len(turns) and got[c].loss_chars == len(loss)
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
         assert got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
-    empty = chat.turns_of(df.limit(0))
+    empty = chat.compressed(chat.turns_of(df.limit(0)))
     assert chat.read_back(empty, chat.layout(empty)).count() == 0
 
 
+def test_a_long_conversation_is_one_node_until_others_part_or_end(spark):
+    long = [(1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(300)]
+    rows = long + [(2, t, *r) for _, t, *r in long[:100]] + [(3, t, *r) for _, t, *r in long[:200]] + [(3, 200, "user", "else")]
+    convs = chat.compressed(chat.turns_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    nodes = chat.layout(convs)
+    assert sorted((r.depth, r.formatted.count("### ")) for r in nodes.collect()) == [(1, 100), (2, 100), (3, 1), (3, 100)]
+    assert {r.conv_id: r.n_turns for r in chat.read_back(convs, nodes).collect()} == {1: 300, 2: 100, 3: 201}
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
