@@ -6,8 +6,9 @@ counted over all documents. Each text takes part in a vote of its nearest
 labelled examples by exact cosine, found in a block-max inverted index: the
 examples lie in blocks, each block has the largest weight of each term, and a
 query opens blocks by falling upper bound until none can beat its k-th
-neighbour. Votes weigh by distance and are calibrated on leave-one-out votes of
-the examples themselves.
+neighbour. Votes weigh by distance, and by how many labelled rows of its class
+an example stands for; they are calibrated on leave-one-out votes of the
+examples themselves.
 
 Defined results: a null or empty text, and a text without any feature, has no
 neighbours and gets the calibrated prior; equal similarities go to the smaller
@@ -19,6 +20,7 @@ columns of either table are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,11 +46,13 @@ class Index:
     """Block-max inverted index over unit vectors of the examples."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]],
-                 labels: np.ndarray, ids: np.ndarray):
+                 labels: np.ndarray, ids: np.ndarray, weights: np.ndarray | None = None):
         order = np.lexsort((np.arange(len(ids)), [int(v[0][0]) if len(v[0]) else -1 for v in vectors]))
         self.terms, self.idf = terms, idf
         self.labels, self.ids = labels[order].astype(float), ids[order]
         n = len(order)
+        #: Labelled rows that an example of the bounded sample stands for, one on average.
+        self.stands = (np.ones(n) if weights is None or not n else weights / weights.mean())[order]
         self.blocks = -(-n // BLOCK)
         dense = [self.unit(*vectors[i]) for i in order]
         post: list[list[tuple[int, float]]] = [[] for _ in terms]
@@ -64,7 +68,7 @@ class Index:
             self.block_no.append(no)
             self.block_max.append(np.maximum.reduceat(w, at) if len(w) else w)
             self.block_at.append(np.append(at, len(r)))
-        self.prior = float(self.labels.mean()) if n else 0.0
+        self.prior = float(np.average(self.labels, weights=self.stands)) if n else 0.0
         self.slope, self.shift = 1.0, 0.0
         self.seen: dict = {}
 
@@ -105,7 +109,8 @@ class Index:
 
     def vote(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         rows, cos = self.nearest(t, w, NEIGHBOURS, skip) if len(t) else (np.zeros(0, np.int64), np.zeros(0))
-        weight = 1.0 / (0.1 + np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cos)))  # by Euclidean distance
+        # By Euclidean distance; what shares next to nothing with the text has next to no vote.
+        weight = self.stands[rows] * cos ** 2 / (0.1 + np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cos)))
         return (float(weight @ self.labels[rows]) + PRIOR_WEIGHT * self.prior) / (float(weight.sum()) + PRIOR_WEIGHT), rows, cos
 
     def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
@@ -113,14 +118,14 @@ class Index:
         v = np.array([self.vote(*x, skip=i)[0] for i, x in enumerate(vectors)])
         if len(v) == 0 or self.labels.min() == self.labels.max():
             return
-        x, y = _logit(v), self.labels
+        x, y, w = _logit(v), self.labels, self.stands
         n1 = y.sum()
         goal = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (len(y) - n1 + 2))
         a, b = 1.0, 0.0
         for _ in range(60):  # Newton steps with a small ridge
             p = 1 / (1 + np.exp(-(a * x + b)))
-            g = np.array([((p - goal) * x).sum() + 1e-3 * (a - 1), (p - goal).sum() + 1e-3 * b])
-            r = p * (1 - p)
+            g = np.array([(w * (p - goal) * x).sum() + 1e-3 * (a - 1), (w * (p - goal)).sum() + 1e-3 * b])
+            r = w * p * (1 - p)
             h = np.array([[(r * x * x).sum() + 1e-3, (r * x).sum()], [(r * x).sum(), r.sum() + 1e-3]])
             step = np.linalg.solve(h, g)
             a, b = a - float(np.clip(step[0], -1, 1)), b - float(np.clip(step[1], -1, 1))
@@ -160,13 +165,17 @@ def _counts(raw: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> Iterator
             yield np.unique(at[hit[bounds[d]:bounds[d + 1]]], return_counts=True)
 
 
+def usable_labels(labels: DataFrame) -> DataFrame:
+    return (labels.where("doc_id is not null and toxic in (0, 1)").where(fold("doc_id", 5) != 0)
+            .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
+            .where("toxic = other").select("doc_id", "toxic"))
+
+
 def labelled_sample(labels: DataFrame, most: int = MAX_EXAMPLES) -> DataFrame:
     """(doc_id, toxic) of at most ``most`` rows per class, the same rows at any run:
     the least by a hash of the id. Rows in the held-out fold, without an id, or
     with contradicting labels are no examples."""
-    rows = (labels.where("doc_id is not null and toxic in (0, 1)").where(fold("doc_id", 5) != 0)
-            .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other"))
-            .where("toxic = other").select("doc_id", "toxic"))
+    rows = usable_labels(labels)
     parts = [rows.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1)]
     return parts[0].unionByName(parts[1])
 
@@ -229,7 +238,11 @@ def fit(documents: DataFrame, labels: DataFrame) -> Index:
     rows = (examples.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>")
             .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())  # bounded as the sample is
     vec = [(np.array(r.terms, dtype=np.int64), np.array(r.counts, dtype=np.int64)) for r in rows]
-    index = Index(terms, idf, vec, np.array([r.toxic for r in rows], dtype=float), np.array([r.doc_id for r in rows], dtype=np.int64))
+    y = np.array([r.toxic for r in rows], dtype=float)
+    whole = {r.toxic: r.n for r in usable_labels(labels).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taken = Counter(sample.values())
+    stands = np.array([whole[r.toxic] / taken[r.toxic] for r in rows])
+    index = Index(terms, idf, vec, y, np.array([r.doc_id for r in rows], dtype=np.int64), stands)
     place = {int(d): i for i, d in enumerate(index.ids)}
     ordered: list = [None] * len(rows)
     for r, v in zip(rows, vec, strict=True):
