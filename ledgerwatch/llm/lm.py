@@ -154,16 +154,18 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their block and place in it, in the answers' columns (kind 2)."""
+    """A block's documents, some at a time as compressed Arrow, in the answers' columns (kind 2)."""
     for no, held in _blocks(batches):
-        at = 0
+        packed = []
         for b in held:
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, no)), pa.array(np.full(n, 2, np.int32)), pa.array(np.arange(at, at + n)), b.column("text").cast(pa.binary()),
-                 pa.nulls(n, pa.decimal128(20, 0)), b.column("doc_id"), b.column("train")],
-                names=["block", "kind", "part", "counts", "asked", "doc_id", "train"])
-            at += n
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(b)
+            packed.append(sink.getvalue().to_pybytes())
+        n = len(packed)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, no)), pa.array(np.full(n, 2, np.int32)), pa.array(np.arange(n)), pa.array(packed, pa.binary()),
+             pa.nulls(n, pa.decimal128(20, 0))], names=["block", "kind", "part", "counts", "asked"])
 
 
 class Counts(NamedTuple):
@@ -181,9 +183,7 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[Counts]:
     now, answers, held = None, ([], []), []
 
     def flush() -> Counts:
-        text = pa.concat_arrays([b.column("counts") for b in held]).cast(pa.string())
-        rows = pa.RecordBatch.from_arrays([text], names=["text"])
-        block = block_of([x[1:] for x in tk.chunks(rows, "text")])
+        block = block_of([x[1:] for b in held for x in tk.chunks(b, "text")])
         found = []
         for keys, got in ((block.tokens, answers[0]), (block.bigrams, answers[1])):
             u, inverse = np.unique(keys, return_inverse=True)
@@ -213,7 +213,7 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[Counts]:
                 now, answers, held = blocks[a], ([], []), []
             part = batch.slice(a, b - a)
             if kinds[a] == 2:
-                held.append(part)
+                held.extend(x for data in part.column("counts").to_pylist() for x in pa.ipc.open_stream(data))
             else:
                 answers[kinds[a]].extend(zip(part.column("counts").to_pylist(), map(int, part.column("asked").to_pylist()), strict=True))
     if held:
@@ -294,10 +294,9 @@ def score(documents: DataFrame, held_out) -> DataFrame:
     answers = written(answers, "lm-answers")
     known = answers.where("kind = 0").agg(F.coalesce(F.sum("types"), F.lit(0)).alias("types"), F.coalesce(F.sum("total"), F.lit(0)).alias("total")).first()
     types, total = int(known.types), float(known.total)
-    tagged = docs.mapInArrow(_tagged, "block long, kind int, part long, counts binary, asked decimal(20,0), doc_id long, train boolean")
+    tagged = docs.mapInArrow(_tagged, "block long, kind int, part long, counts binary, asked decimal(20,0)")
     # The documents come first in the union: their partitions keep the numbers they had when asking.
-    both = tagged.unionByName(answers.select("block", "kind", "part", "counts", "asked", F.lit(None).cast("long").alias("doc_id"),
-                                             F.lit(None).cast("boolean").alias("train")))
+    both = tagged.unionByName(answers.select("block", "kind", "part", "counts", "asked"))
     met = both.repartition("block").sortWithinPartitions("block", "kind", "part")
     cells = (met.mapInArrow(_cells(total), "cell long, n long, p2 double, p1 double")
              .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("p2").alias("p2"), F.sum("p1").alias("p1")).collect())
