@@ -274,6 +274,8 @@ def test_chains_and_alignment():
             for j, d in enumerate(b, 1):
                 prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (c != d))
         assert passages.distance(a, b) == row[-1]
+    x = np.array([1, 2, 3, 4, 5, 6, 7, 8, 9])
+    assert [passages.extension(x, np.array(y)) for y in ([1, 2, 0, 4, 5, 6, 7], [1, 2, 0, 4, 5, 0], [0, 2, 3, 4], [0, 2, 3], [], [1, 2])] == [7, 2, 4, 0, 0, 2]
 
 
 def test_passages_are_found_and_clean_texts_left_alone(spark):
@@ -283,7 +285,7 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
     for k in range(40):
         p = list(passage)
         for _ in range(k % 4):
-            p[rng.randrange(20, 50)] = own(1)
+            p[rng.randrange(4, 66)] = own(1)
         before = rng.randrange(80)
         rows.append((100 + k, f"{own(before)} {' '.join(p)} {own(30)}"))
         want[100 + k] = (before, before + 70)
@@ -294,7 +296,10 @@ def test_passages_are_found_and_clean_texts_left_alone(spark):
     for r in passages.shared_passages(docs_of(spark, rows).repartition(4)).collect():
         assert r.doc_id not in got and r.n_words == r.end_word - r.start_word and r.other_id != r.doc_id
         got[r.doc_id] = (r.start_word, r.end_word)
-    assert got == want | {400: (0, 120), 401: (0, 120)}
+    assert set(got) == set(want) | {400, 401} and got[400] == got[401] == (0, 120)
+    for d, (a, b) in want.items():  # edits close to an end may cost a few words there
+        assert a <= got[d][0] <= a + 16 and b - 16 <= got[d][1] <= b, (d, got[d], a, b)
+    assert sum(got[d] == want[d] for d in want) > 30
     assert passages.shared_passages(docs_of(spark, [])).count() == 0
 
 
