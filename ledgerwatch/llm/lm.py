@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from ledgerwatch.llm import tokens as tk
 from ledgerwatch.llm.common import fold, prepare, table, written
 
-BLOCK_BYTES = 16 << 20
-RANGE_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+RANGE_BYTES = 8 << 20
 #: Buckets of the context's count: unseen, 1, 2-3, 4-7, ...
 BUCKETS = 40
 
