@@ -137,7 +137,7 @@ class Index:
     def score(self, t: np.ndarray, tf: np.ndarray) -> tuple[float, list[int], list[float]]:
         key = (t.tobytes(), tf.tobytes())
         if key not in self.seen:
-            if len(self.seen) >= 20_000:
+            if len(self.seen) >= 4_000:
                 self.seen.clear()
             v, rows, cos = self.vote(*self.unit(t, tf))
             z = self.slope * float(_logit(np.array([v]))[0]) + self.shift
