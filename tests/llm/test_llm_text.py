@@ -315,6 +315,27 @@ def test_passages_over_parts(spark, monkeypatch):
         assert all(r.start_word == 50 and r.n_words == 60 for r in got)
 
 
+def test_passages_on_both_sides_of_a_gap(spark):
+    """Two passages of one pair, and a passage into which one document inserts words."""
+    rng = random.Random(10)
+    own = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    rows, want = [], {}
+    for k, gap in enumerate((3, 20, 40, 90, 200, 400)):
+        p, q = own(60 if gap < 400 else 300), own(60 if gap < 400 else 300)
+        n = len(p.split())
+        whole = [(10, 10 + 2 * n + gap)]
+        for d in (0, 1):
+            rows.append((10 * k + d, f"{own(10)} {p} {own(gap)} {q} {own(10)}"))
+            want[10 * k + d] = whole if gap <= 20 else [(10, 10 + n), (10 + n + gap, 10 + 2 * n + gap)]
+    p, q = own(60), own(60)
+    rows += [(100, f"{own(5)} {p} {q} {own(5)}"), (101, f"{own(5)} {p} {own(80)} {q}")]
+    want |= {100: [(5, 125)], 101: [(5, 65), (145, 205)]}
+    got = {}
+    for r in passages.shared_passages(docs_of(spark, rows).repartition(3)).collect():
+        got.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    assert {d: sorted(v) for d, v in got.items()} == want
+
+
 # Toxicity
 
 def test_index_finds_the_nearest_by_exact_cosine():
