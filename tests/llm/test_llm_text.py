@@ -352,6 +352,21 @@ def test_passages_with_many_changed_words(spark):
     assert set(got) == set(range(120)) and all(20 <= a <= 26 for a in got.values())
 
 
+def test_passages_of_words_that_stand_elsewhere(spark):
+    """Each short run of a shared passage stands first in a smaller document of its own."""
+    rng = random.Random(12)
+    own = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    rows = []
+    for k in range(6):
+        p = own(55)
+        for i in range(0, 50):
+            for j in range(k % 3 * 2 + 1):  # in one, three or five documents
+                rows.append((1000 * k + 10 * i + j, " ".join(own(8) + p[i:i + 5] + own(8))))
+        rows += [(10_000 + 2 * k + c, " ".join(own(15) + p + own(15))) for c in (0, 1)]
+    got = {r.doc_id: (r.start_word, r.end_word) for r in passages.shared_passages(docs_of(spark, rows).repartition(3)).collect()}
+    assert got == {10_000 + d: (15, 70) for d in range(12)}
+
+
 # Toxicity
 
 def test_index_finds_the_nearest_by_exact_cosine():
