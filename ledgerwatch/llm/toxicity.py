@@ -1,12 +1,10 @@
 """Toxicity by nearest labelled examples (operator 2).
 
-Terms that the labelled sample ties to either class (chi-square) are the
-features. A text is its TF-IDF vector over them, document frequencies being
-counted over all documents. Each text takes part in a vote of its nearest
-labelled examples by exact cosine, found in a block-max inverted index: the
-examples lie in blocks, each block has the largest weight of each term, and a
-query opens blocks by falling upper bound until none can beat its k-th
-neighbour. Votes weigh by distance, and by how many labelled rows of its class
+All terms of the labelled sample are features. A text is its TF-IDF vector over
+them, document frequencies being counted over all documents; a term weighs more
+the more the sample ties it to either class (chi-square). Each text takes part in
+a vote of its nearest labelled examples by exact cosine, summed over the postings
+of an inverted index. Votes weigh by distance, and by how many labelled rows of its class
 an example stands for; they are calibrated on leave-one-out votes of the
 examples themselves.
 
@@ -33,17 +31,16 @@ from ledgerwatch.llm.common import fold, prepare, table
 
 #: Examples kept per class: the documented bound of the labelled sample.
 MAX_EXAMPLES = 3000
-#: Features kept (most significant first), and the least chi-square of a feature.
-MAX_TERMS = 4096
-MIN_CHI2 = 30.0
+#: Chi-square from which a term has its full weight, and the share of it that any term has.
+FULL_CHI2 = 30.0
+LEAST_WEIGHT = 0.05
 NEIGHBOURS = 15
-BLOCK = 64
 #: A vote has this much of the prior in it.
 PRIOR_WEIGHT = 0.25
 
 
 class Index:
-    """Block-max inverted index over unit vectors of the examples."""
+    """Inverted index over unit vectors of the examples."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]],
                  labels: np.ndarray, ids: np.ndarray, weights: np.ndarray | None = None):
@@ -53,21 +50,14 @@ class Index:
         n = len(order)
         #: Labelled rows that an example of the bounded sample stands for, one on average.
         self.stands = (np.ones(n) if weights is None or not n else weights / weights.mean())[order]
-        self.blocks = -(-n // BLOCK)
         dense = [self.unit(*vectors[i]) for i in order]
-        post: list[list[tuple[int, float]]] = [[] for _ in terms]
-        for row, (t, w) in enumerate(dense):
-            for a, b in zip(t.tolist(), w.tolist(), strict=True):
-                post[a].append((row, b))
-        # Postings of a term, ascending by example, with their bounds per block.
-        self.rows = [np.array([r for r, _ in p], dtype=np.int64) for p in post]
-        self.weights = [np.array([w for _, w in p]) for p in post]
-        self.block_no, self.block_max, self.block_at = [], [], []
-        for r, w in zip(self.rows, self.weights, strict=True):
-            no, at = np.unique(r // BLOCK, return_index=True)
-            self.block_no.append(no)
-            self.block_max.append(np.maximum.reduceat(w, at) if len(w) else w)
-            self.block_at.append(np.append(at, len(r)))
+        # Postings of all terms, by term and example: those of term t are at[t]:at[t + 1].
+        term = np.concatenate([t for t, _ in dense] or [np.zeros(0, np.int64)])
+        row = np.repeat(np.arange(n), [len(t) for t, _ in dense])
+        by = np.lexsort((row, term))
+        self.at = np.searchsorted(term[by], np.arange(len(terms) + 1))
+        self.rows = row[by].astype(np.int32)
+        self.weights = np.concatenate([w for _, w in dense] or [np.zeros(0)])[by]
         self.prior = float(np.average(self.labels, weights=self.stands)) if n else 0.0
         self.slope, self.shift = 1.0, 0.0
         self.seen: dict = {}
@@ -79,33 +69,18 @@ class Index:
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(example rows, cosines) of the k nearest with a cosine above zero."""
-        bound = np.zeros(self.blocks)
-        for a, b in zip(t, w, strict=True):
-            bound[self.block_no[a]] += b * self.block_max[a]
-        order = np.argsort(-bound, kind="stable")
-        best_r, best_s, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
-        at = 0
-        while at < len(order) and bound[order[at]] > 0 and (len(best_r) < k or bound[order[at]] >= worst - 1e-12):
-            scores: dict[int, np.ndarray] = {}
-            for blk in order[at:at + 4]:  # a few blocks at a time
-                if bound[blk] <= 0:
-                    continue
-                got = np.zeros(BLOCK)
-                for a, b in zip(t, w, strict=True):
-                    i = np.searchsorted(self.block_no[a], blk)
-                    if i < len(self.block_no[a]) and self.block_no[a][i] == blk:
-                        lo, hi = self.block_at[a][i], self.block_at[a][i + 1]
-                        got[self.rows[a][lo:hi] - blk * BLOCK] += b * self.weights[a][lo:hi]
-                scores[int(blk)] = got
-            at += 4
-            rows = np.concatenate([best_r, *(blk * BLOCK + np.flatnonzero(s) for blk, s in scores.items())])
-            cos = np.concatenate([best_s, *(s[s != 0] for s in scores.values())])
-            if skip >= 0:
-                cos, rows = cos[rows != skip], rows[rows != skip]
-            pick = np.lexsort((rows, -np.round(cos, 12)))[:k]
-            best_r, best_s = rows[pick], cos[pick]
-            worst = float(best_s[-1]) if len(best_s) else 0.0
-        return best_r, np.minimum(best_s, 1.0)
+        lo, size = self.at[t], self.at[t + 1] - self.at[t]
+        first = np.cumsum(size) - size
+        place = np.arange(size.sum()) + np.repeat(lo - first, size)
+        cos = np.bincount(self.rows[place], self.weights[place] * np.repeat(w, size), len(self.ids))
+        if skip >= 0:
+            cos[skip] = 0.0
+        rows = np.flatnonzero(cos > 0)
+        if len(rows) > k:
+            least = np.partition(cos[rows], len(rows) - k)[len(rows) - k]
+            rows = rows[cos[rows] >= least - 1e-11]
+        rows = rows[np.lexsort((rows, -np.round(cos[rows], 12)))[:k]]
+        return rows, np.minimum(cos[rows], 1.0)
 
     def vote(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         rows, cos = self.nearest(t, w, NEIGHBOURS, skip) if len(t) else (np.zeros(0, np.int64), np.zeros(0))
@@ -209,9 +184,12 @@ def fit(documents: DataFrame, labels: DataFrame) -> Index:
                 F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
     a, b, n = F.col("a"), F.col("b"), float(n0 + n1)
     chi2 = n * F.pow(a * float(n0) - b * float(n1), 2.0) / ((a + b) * (n - a - b) * float(n0 * n1 or 1))
-    chosen = (per.where((a + b) < n).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-              .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term").collect()) if n0 and n1 else []
-    terms = np.sort(np.array([r.term for r in chosen], dtype=np.int64).view(np.uint64))
+    known = F.when((a + b) < n, chi2).otherwise(0.0) if n0 and n1 else F.lit(0.0)
+    # As many rows as the bounded sample has terms.
+    chosen = per.select("term", known.cast("double").alias("chi2")).toArrow()
+    terms = chosen.column("term").to_numpy().view(np.uint64)
+    order = np.argsort(terms)
+    terms, tie = terms[order], chosen.column("chi2").to_numpy()[order]
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows = np.zeros(len(terms) + 1, np.int64), 0
@@ -220,12 +198,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> Index:
                 for t, _ in _counts(raw, offsets, terms):
                     df[t] += 1
             df[-1] += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "df"])
-
-    df = np.zeros(len(terms) + 1, np.int64)  # MAX_TERMS + 1 at most; the last counts the documents
-    for r in docs.select("text").mapInArrow(frequency, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
-        df[r.term] = r.df
-    idf = np.log((1.0 + df[-1]) / (1.0 + df[:-1])) + 1.0
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["term", "df"])
+
+    df = np.zeros(len(terms) + 1, np.int64)  # the sample's terms; the last counts the documents
+    counted = docs.select("text").mapInArrow(frequency, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df[counted.column("term").to_numpy()] = counted.column("df").to_numpy()
+    # Terms that tell the classes apart weigh most, but none is without weight.
+    idf = (np.log((1.0 + df[-1]) / (1.0 + df[:-1])) + 1.0) * (LEAST_WEIGHT + (1 - LEAST_WEIGHT) * np.minimum(1.0, tie / FULL_CHI2))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

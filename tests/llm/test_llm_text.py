@@ -391,6 +391,19 @@ def test_index_finds_the_nearest_by_exact_cosine():
         assert [r for _, r in best] == rows.tolist() and np.allclose([-s for s, _ in best], got)
 
 
+def test_toxicity_finds_copies_of_examples_with_rare_words(spark):
+    """A copy of a toxic example none of whose words tells the classes apart has that neighbour."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"rare{i}a rare{i}b rare{i}c " + ("foul" if i % 2 and i > 9 else "fair")) for i in ids]
+    rows = [(i, t.rsplit(" ", 1)[0]) if i <= 9 else (i, t) for i, t in rows]
+    odd = [i for i in ids if i <= 9]
+    docs = docs_of(spark, rows + [(1000 + i, dict(rows)[i]) for i in odd])
+    index = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, index).collect()}
+    assert all(got[1000 + i].neighbours[0] == i and got[1000 + i].cosines[0] > 0.999 for i in odd)
+    assert all((got[1000 + i].score >= 0.5) == (i % 2 == 1) for i in odd)
+
+
 def test_toxicity_held_out_accuracy_and_edges(spark):
     sf = "/root/testdata/sf0.01"
     rows = toxicity.op2_toxicity(spark, sf).collect()
