@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerwatch.llm import chat, decontaminate, embeddings, lm, minhash, mixing, passages, pii, resample, toxicity, urls
+from ledgerwatch.llm import chat, decontaminate, embeddings, lm, minhash, mixing, passages, phrases, pii, quality, resample, toxicity, urls
 
 QUERIES = {
     "op1_cover_tree": embeddings.op1_cover_tree,
@@ -15,11 +15,14 @@ QUERIES = {
     "op8_deleted_interpolation": lm.op8_deleted_interpolation,
     "op9_pii_weak_supervision": pii.op9_pii_weak_supervision,
     "op10_collinear_chaining": passages.op10_collinear_chaining,
+    "op11_line_labelling": quality.op11_line_labelling,
+    "op12_quotient_filters": phrases.op12_quotient_filters,
     "op13_importance_resampling": resample.op13_importance_resampling,
 }
 
 ORACLE = {
     "op4_prefix_tree": chat.ORACLE,
     "op7_poisson_mixing": mixing.oracle(),
+    "op12_quotient_filters": phrases.ORACLE,
     "op13_importance_resampling": resample.ORACLE,
 }

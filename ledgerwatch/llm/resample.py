@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import prepare, table, written
+from ledgerwatch.llm.common import prepare, ranked, table, written
 from ledgerwatch.llm.tokens import ALNUM, chunks
 from ledgerwatch.llm.words import spans
 
@@ -174,22 +174,6 @@ def scored(weighed: DataFrame, seed: int) -> DataFrame:
     return weighed.withColumn("score", F.col("weight") + noise)
 
 
-def ranked(df: DataFrame, order: list, name: str) -> tuple[DataFrame, int]:
-    """``df`` with its rank from 1 in the given order, and its number of rows. Parts of a range
-    partitioning are numbered apart and shifted by the sizes of the parts before them."""
-    place = "__place"
-    parts = written(df.repartitionByRange(*order).sortWithinPartitions(*order)
-                    .withColumn(place, F.monotonically_increasing_id()), name)
-    part = F.shiftright(place, 33)
-    sizes = parts.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = written(sizes.withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0))), f"{name}-sizes")
-    total = sizes.agg(F.sum("__size")).first()[0] or 0
-    rank = F.col("__before") + F.col(place) - F.shiftleft(part, 33) + 1
-    return (parts.withColumn("__part", part).join(F.broadcast(sizes), "__part")
-            .withColumn("rank", rank).drop(place, "__part", "__size", "__before")), total
-
-
 def resample(docs: DataFrame, target: DataFrame, percent: int = 25, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, n_features, weight, score, and rank for those drawn, the
     ``percent`` % highest scores of the documents of at least MIN_WORDS words."""

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(registry.ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
