@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.session import scratch_dir
+from ledgerwatch.session import drop_scratch, scratch_dir
 
 #: Arrow batches handed to Python tasks hold at most this many bytes, so a run
 #: of very long texts cannot fill a worker.
@@ -31,13 +31,18 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder, read it back."""
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path, mode="overwrite")
+    df.write.parquet(path, mode="overwrite", compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Remove the table that ``written`` made, once everything derived from it is written too."""
+    drop_scratch(df.sparkSession, [os.path.dirname(f) for f in df.inputFiles()[:1]])
+
+
 def fold(doc_id: str | Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id folds as the empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

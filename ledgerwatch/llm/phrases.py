@@ -2,7 +2,9 @@
 
 Texts are cut into blocks of whole documents. A block's tokens are codes of its own word list; the
 words' counts are added up over all blocks, frequent words get dense ids per (language, word), and
-each block learns the ids of its own words by a join, so no task ever holds the dictionary.
+each block learns the ids of its own words: while the dictionary has FEW_WORDS words at most it is
+sent to all tasks, a larger one is joined with the blocks' words by a shuffle. Tokens are stored as
+planes of bytes, compressed; tables of steps that are done are removed.
 
 A phrase of n words is its n word ids packed into n x b bits, permuted by an invertible mixer. The
 top bits of the result are the quotient: they name a slot, and a run within it; the rest, the
@@ -34,12 +36,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.common import prepare, ranked, table, written
+from ledgerwatch.llm.common import dropped, prepare, ranked, table, written
 from ledgerwatch.llm.tokens import _separators, chunks, mix
 from ledgerwatch.llm.words import coded, spans
 
 #: Bytes of text in a block, occurrences in a slot, least number of slots (a power of two).
-BLOCK, SLOT, LEAST_SLOTS = 4 << 20, 1 << 19, 64
+BLOCK, SLOT, LEAST_SLOTS = 8 << 20, 1 << 19, 64
+#: Up to so many frequent words (about 10 MB) are sent to the tasks; more are joined by a shuffle.
+FEW_WORDS = 1 << 18
 #: Runs in a slot, as a power of two.
 RUNS = 3
 #: Least bits of a word id, so that slots and runs always fit into a quotient.
@@ -196,49 +200,100 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, p
         yield now, pa.Table.from_batches(held)
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """Tokens as compressed planes of bytes, behind their number and size."""
+    size = 4 if int(tokens.max(initial=0)) < 1 << 31 else 8
+    planes = np.ascontiguousarray(tokens.astype(f"<i{size}").view(np.uint8).reshape(-1, size).T)
+    return np.array([len(tokens), size], np.int64).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n, size = np.frombuffer(data, np.int64, 2).tolist()
+    planes = pa.decompress(memoryview(data)[16:], n * size, codec="zstd")
+    return np.frombuffer(planes, np.uint8).reshape(size, n).T.copy().view(f"<i{size}").ravel().astype(np.int64)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(language, bytes, offsets) of whole documents, BLOCK bytes or more together."""
+    held, size = [], 0
+    for batch in batches:
+        for part, raw, offsets in chunks(batch, "text", BLOCK):
+            held.append((part.column("lang"), raw, offsets))
+            size += len(raw)
+            if size >= BLOCK:
+                yield _joined(held)
+                held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    langs, raws, offsets = zip(*held)
+    at = np.concatenate(([0], np.cumsum([len(r) for r in raws])))
+    return pa.concat_arrays(langs), np.concatenate(raws), np.concatenate([[0], *(o[1:] + k for o, k in zip(offsets, at))])
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per block: its words (language, word, count) and its tokens as places in that list; -1 parts pieces."""
     block = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for part, raw, offsets in chunks(batch, "text", BLOCK):
-            raw = _LOWER[raw]
-            words = spans(raw, offsets, _WORD)
-            if not len(words.start):
-                continue
-            doc = words.doc
-            code, spelling = coded(raw, words)
-            langs = part.column("lang").dictionary_encode()
-            lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[doc]
-            pair, at, n = np.unique(lang * len(spelling) + code, return_inverse=True, return_counts=True)
-            order = np.argsort(-n, kind="stable")  # small numbers for frequent words pack better
-            place = np.empty(len(order), np.int32)
-            place[order] = np.arange(len(order))
-            cuts = np.concatenate(([0], np.cumsum(_CUT[raw])))
-            piece = np.flatnonzero((doc[1:] != doc[:-1]) | (cuts[words.start[1:]] > cuts[words.start[:-1]])) + 1
-            tokens = np.insert(place[at], piece, -1)
-            word = spelling.take(pa.array(pair[order] % len(spelling))).cast(pa.large_string()).cast(pa.string())
-            own = pa.StructArray.from_arrays([langs.dictionary.take(pa.array(pair[order] // len(spelling))), word, pa.array(n[order])], ["lang", "word", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), pa.array([tokens.astype(np.int32).tobytes()], pa.binary())],
-                ["block", "words", "tokens"])
-            block += 1
+    for langs, raw, offsets in _texts(batches):
+        raw = _LOWER[raw]
+        words = spans(raw, offsets, _WORD)
+        if not len(words.start):
+            continue
+        doc = words.doc
+        code, spelling = coded(raw, words)
+        langs = langs.dictionary_encode()
+        lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[doc]
+        pair, at, n = np.unique(lang * len(spelling) + code, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")  # small numbers for frequent words pack better
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        cuts = np.concatenate(([0], np.cumsum(_CUT[raw])))
+        piece = np.flatnonzero((doc[1:] != doc[:-1]) | (cuts[words.start[1:]] > cuts[words.start[:-1]])) + 1
+        tokens = np.insert(place[at], piece, -1)
+        word = spelling.take(pa.array(pair[order] % len(spelling))).cast(pa.large_string()).cast(pa.string())
+        own = pa.StructArray.from_arrays([langs.dictionary.take(pa.array(pair[order] // len(spelling))), word, pa.array(n[order])], ["lang", "word", "n"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own), pa.array([packed(tokens)], pa.binary())],
+            ["block", "words", "tokens"])
+        block += 1
 
 
 def _renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens as ids of frequent words (others: -1), in stretches of two or more."""
     for block, rows in groups(batches, "block"):
-        places, ids = (rows.column(c).to_numpy() for c in ("place", "id"))
-        tokens = next(x for x in rows.column("tokens").to_pylist() if x is not None)
-        tokens = np.frombuffer(tokens, np.int32)
-        known = places >= 0
-        name = np.full(max(int(tokens.max(initial=0)), int(places.max(initial=0))) + 2, -1, np.int64)  # the last one is for -1
-        name[places[known]] = ids[known]
-        if len(kept := stretches(name[tokens], 1, name[tokens] >= 0)):
-            yield _tokens(block, kept)
+        tokens = unpacked(next(x for x in rows.column("tokens").to_pylist() if x is not None))
+        places, ids = (rows.column(c).combine_chunks().flatten().to_numpy() for c in ("places", "ids"))
+        yield from _known(block, tokens, places, ids)
+
+
+def _known(block: int, tokens: np.ndarray, places: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    name = np.full(max(int(tokens.max(initial=0)), int(places.max(initial=0))) + 2, -1, np.int64)  # the last one is for -1
+    name[places] = ids
+    if len(kept := stretches(name[tokens], 1, name[tokens] >= 0)):
+        yield _tokens(block, kept)
+
+
+def _spelt(lang: pa.Array, word: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(word, lang, " ")  # no word holds a space
+
+
+def _looked_up(known: pa.Table):
+    """As _renamed, with the whole (small) dictionary at hand; the row of a word is its id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelt = _spelt(known.column("lang").combine_chunks(), known.column("word").combine_chunks())
+        for batch in batches:
+            for k, block in enumerate(batch.column("block").to_pylist()):
+                own = batch.column("words").slice(k, 1).flatten()
+                ids = pc.index_in(_spelt(own.field("lang"), own.field("word")), value_set=spelt)
+                places = np.flatnonzero(pc.is_valid(ids).to_numpy(zero_copy_only=False))
+                yield from _known(block, unpacked(batch.column("tokens")[k].as_py()), places, ids.drop_null().to_numpy().astype(np.int64))
+    return run
 
 
 def _tokens(block: int, tokens: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([tokens.astype(np.int64).tobytes()], pa.binary())], ["block", "tokens"])
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([packed(tokens)], pa.binary())], ["block", "tokens"])
 
 
 def stretches(tokens: np.ndarray, n: int, alive: np.ndarray) -> np.ndarray:
@@ -271,7 +326,7 @@ def _counting(layout: Filter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, tokens in zip(batch.column("block").to_pylist(), batch.column("tokens").to_pylist()):
-                _, keys, place = _keys(layout.packing, np.frombuffer(tokens, np.int64))
+                _, keys, place = _keys(layout.packing, unpacked(tokens))
                 if len(place):
                     yield layout.rows(keys, np.bincount(place), block)
     return run
@@ -306,7 +361,9 @@ def _pruning(layout: Filter):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in groups(batches, "block"):
             answers = rows.filter(pc.is_valid(rows.column("hits")))
-            tokens = np.frombuffer(rows.filter(pc.is_valid(rows.column("tokens"))).column("tokens")[0].as_py(), np.int64)
+            if not answers.num_rows:
+                continue
+            tokens = unpacked(next(x for x in rows.column("tokens").to_pylist() if x is not None))
             at, keys, place = _keys(layout.packing, tokens)
             slot, often = layout.slot_of(keys), np.zeros(len(keys[0]), dtype=bool)
             for s, hits in zip(answers.column("slot").to_pylist(), answers.column("hits").to_pylist()):
@@ -331,7 +388,7 @@ def frequent(docs: DataFrame, least: int, most_words: int) -> tuple[DataFrame, D
     the frequent words; (lang, n): occurrences of all words."""
     prepare(docs.sparkSession)
     text = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    blocks = written(text.mapInArrow(_blocks, "block long, words array<struct<lang:string,word:string,n:long>>, tokens binary"), "phrase-blocks")
+    blocks = written(text.mapInArrow(_blocks, "block long, words array<struct<lang:string,word:string,n:long>>, tokens binary"), "phrase-blocks", "zstd")
     own = blocks.select("block", F.posexplode("words").alias("place", "w")).select("block", "place", "w.*")
     sizes = written(own.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-sizes")
     counted = own.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
@@ -339,9 +396,16 @@ def frequent(docs: DataFrame, least: int, most_words: int) -> tuple[DataFrame, D
     words = written(words.select((F.col("rank") - 1).alias("id"), "lang", "word", "a"), "phrase-ids")
     found = [words.select(F.array("id").alias("gram"), "a")]
     bits = max(int(many).bit_length(), LEAST_BITS)
-    names = own.join(words.select("lang", "word", "id"), ["lang", "word"]).select("block", "place", "id", F.lit(None).cast("binary").alias("tokens"))
-    texts = blocks.select("block", F.lit(-1).alias("place"), F.lit(-1).cast("long").alias("id"), "tokens")
-    tokens = written(_dealt(texts.unionByName(names), "block").mapInArrow(_renamed, _TOKENS), "phrase-tokens")
+    if many <= FEW_WORDS:
+        named = blocks.mapInArrow(_looked_up(words.orderBy("id").select("lang", "word").toArrow()), _TOKENS)
+    else:
+        names = own.join(words.select("lang", "word", "id"), ["lang", "word"])
+        # a block's distinct words at most; both lists follow the order of the rows
+        names = names.groupBy("block").agg(F.collect_list("place").alias("places"), F.collect_list("id").alias("ids"))
+        texts = blocks.select("block", F.lit(None).cast("array<int>").alias("places"), F.lit(None).cast("array<long>").alias("ids"), "tokens")
+        named = _dealt(texts.unionByName(names.withColumn("tokens", F.lit(None).cast("binary"))), "block").mapInArrow(_renamed, _TOKENS)
+    tokens = written(named, "phrase-tokens")
+    dropped(blocks)
     for n in range(2, most_words + 1):
         bound = found[-1].agg(F.sum("a")).first()[0] or 0  # no more occurrences of n words than of n - 1
         layout = Filter(Packing(n, bits), max(LEAST_SLOTS.bit_length() - 1, int(bound // SLOT).bit_length()))
@@ -352,8 +416,9 @@ def frequent(docs: DataFrame, least: int, most_words: int) -> tuple[DataFrame, D
         if n < most_words:
             told = merged.where("hits is not null").select("block", "slot", "hits", F.lit(None).cast("binary").alias("tokens"))
             held = tokens.select("block", F.lit(None).cast("long").alias("slot"), F.lit(None).cast("binary").alias("hits"), "tokens")
-            held = held.join(told.select("block").distinct(), "block", "left_semi")
-            tokens = written(_dealt(held.unionByName(told), "block").mapInArrow(_pruning(layout), _TOKENS), f"phrase-tokens-{n}")
+            before, tokens = tokens, written(_dealt(held.unionByName(told), "block").mapInArrow(_pruning(layout), _TOKENS), f"phrase-tokens-{n}")
+            dropped(before)
+    dropped(tokens)
     return reduce(DataFrame.unionByName, found), words, sizes
 
 

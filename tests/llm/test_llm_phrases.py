@@ -104,3 +104,15 @@ def test_stretches_hold_exactly_the_alive_grams():
         kept = ph.stretches(tokens, n, alive)
         got = Counter(tuple(kept[i:i + n + 1]) for i in ph.grams(kept, n + 1))
         assert got == Counter(tuple(tokens[i:i + n + 1]) for i in range(400 - n) if alive[i] and alive[i + 1])
+
+
+def test_tokens_pack():
+    for tokens in ([], [-1], [3, -1, 0, 2 ** 31 - 1], [2 ** 40, -1, 5]):
+        assert ph.unpacked(ph.packed(np.array(tokens, np.int64))).tolist() == tokens
+
+
+def test_dictionary_join_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(ph, "FEW_WORDS", 0)
+    monkeypatch.setattr(ph, "BLOCK", 64)
+    docs = ODD[:8] + [(50 + i, "a b c d. b c d a b", "en") for i in range(20)]
+    assert sorted(map(tuple, ph.mine(frame(spark, docs), 2).collect())) == brute(docs, 2, 5, 2000)
