@@ -62,7 +62,10 @@ def main(argv=None) -> None:
     run.add_argument("--num-partitions", type=int, default=64)
     run.add_argument("--predicate", action="append", help="entity=condition, one task of a JDBC source each")
     run.add_argument("--only-new-since", action="store_true",
-                     help="report only events later than the newest one reported before")
+                     help="the same as --report new")
+    run.add_argument("--report", choices=("full", "counted", "new"), default="full",
+                     help="full: the whole history each run, one row per alert; counted: signed changes of "
+                          "counted alerts; new: as counted, and the new alerts one row each")
     run.add_argument("--compat-null-reset", action="store_true",
                      help="an empty fact batch resets its watermark, as the original loader did")
     run.add_argument("--no-archive", action="store_true")
@@ -94,7 +97,7 @@ def main(argv=None) -> None:
                          sources=_sources(spark, args.source, args), archive=not args.no_archive,
                          drop_order=args.drop_order, revive_unchanged=args.revive_unchanged,
                          compat_untrimmed_keys=args.compat_untrimmed_keys,
-                         compat_null_reset=args.compat_null_reset, only_new_since=args.only_new_since)
+                         compat_null_reset=args.compat_null_reset, only_new_since=args.only_new_since, report=args.report)
     print(json.dumps(run_pipeline(spark, cfg, run_ts)))
 
 

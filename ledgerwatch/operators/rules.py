@@ -215,18 +215,23 @@ def repeat_rows(df: DataFrame, times: str, spread: bool = False) -> DataFrame:
                .drop("_block", "_left", "_chunk", "_i"))
 
 
-def _cell_frame(inp: dict, pairs_only: bool) -> DataFrame:
-    """Cells with partner counts joined to the card profile.
+_PAIRED = "later_partners > 0 or earlier_partners > 0"
+
+
+def report_cells(inp: dict, pairs_only: bool = False) -> DataFrame:
+    """Cells with their partner counts; ``pairs_only`` leaves out those without partners."""
+    cells = city_pair_rows(city_cells(inp["transactions"], inp["terminals"]))
+    return cells.filter(_PAIRED if pairs_only else f"_own or {_PAIRED}")
+
+
+def with_persons(cells: DataFrame, inp: dict) -> DataFrame:
+    """Cells joined to the card profile.
 
     The report needs only (event time, person), so nothing below the cell
     level is kept: a cell's n_rows facts share time, card and city, and each
-    (cell, person row) stands for n_rows enriched rows. ``pairs_only`` drops
-    cells without partners before the profile join (rule-3-only queries).
+    (cell, person row) stands for n_rows enriched rows.
     """
     p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"])
-    pairs = (F.col("later_partners") > 0) | (F.col("earlier_partners") > 0)
-    cells = city_cells(inp["transactions"], inp["terminals"])
-    cells = city_pair_rows(cells).filter(pairs if pairs_only else (F.col("_own") | pairs))
     # The fan-out is counted where the profile already lies by card for the join below.
     p_n = p.filter(F.col("card_num").isNotNull()).withColumn(
         "person_rows", F.count(F.lit(1)).over(Window.partitionBy("card_num")))
@@ -253,7 +258,7 @@ def rule3(inp: dict, report_ts: str, side: str = "both") -> DataFrame:
     event's, which are the same multiset since both share the card);
     'both': union of the two.
     """
-    e = _cell_frame(inp, pairs_only=True)
+    e = with_persons(report_cells(inp, pairs_only=True), inp)
     m = F.explode(F.filter(F.array(*_rule3_multiplicities(side)), lambda x: x.isNotNull()))
     rows = e.select("trans_date", "passport", "fio", "phone", m.alias("_m"))
     return _report(repeat_rows(rows, "_m", spread=True), EVENT_TWO_CITIES_ONE_HOUR, report_ts)
@@ -265,15 +270,9 @@ def rule3_pairs(inp: dict) -> DataFrame:
 
 
 # ------------------------------------------------------------------- report
-def fraud_report(inp: dict, report_ts: str) -> DataFrame:
-    """All three rules in one pass over cells ⟕ card profile.
-
-    Every (cell, person) row explodes into the alerts it raises: rules 1
-    and 2 once per fact in the cell, rule 3 by its partner multiplicity (as
-    earlier and as later event). No dedupe: the output is the same bag as
-    appending the rules one after another.
-    """
-    e = _cell_frame(inp, pairs_only=False)
+def alert_rows(e: DataFrame) -> DataFrame:
+    """The alerts that each (cell, person) row raises, with their number ``_m``: rules 1 and 2
+    once per fact in the cell, rule 3 by its partner multiplicity (as earlier and as later event)."""
     once = F.when(F.col("_own"), F.col("n_rows").cast("long"))
     r3 = _rule3_multiplicities("both")
 
@@ -286,14 +285,13 @@ def fraud_report(inp: dict, report_ts: str) -> DataFrame:
         F.when(r3[0].isNotNull(), alert(EVENT_TWO_CITIES_ONE_HOUR, r3[0])),
         F.when(r3[1].isNotNull(), alert(EVENT_TWO_CITIES_ONE_HOUR, r3[1]))),
         lambda x: x.isNotNull())
-    rows = (e.select("trans_date", "passport", "fio", "phone", F.explode(alerts).alias("_a"))
-              .select("trans_date", "passport", "fio", "phone",
-                      F.col("_a.t").alias("_t"), F.col("_a.m").alias("_m")))
-    out = repeat_rows(rows, "_m", spread=True)
-    return out.select(F.col("trans_date").alias("event_dt"), "passport", "fio", "phone",
-                      F.col("_t").cast("int").alias("event_type"), lit_ts(report_ts).alias("report_dt"))
+    return (e.select("card_num", F.col("trans_date").alias("event_dt"), "passport", "fio", "phone", F.explode(alerts).alias("_a"))
+             .select("card_num", "event_dt", "passport", "fio", "phone",
+                     F.col("_a.t").cast("int").alias("event_type"), F.col("_a.m").alias("_m")))
 
 
-def only_new_since(report: DataFrame, last_event: str) -> DataFrame:
-    """F5 option: alerts of events later than ``last_event``, the newest reported before."""
-    return report.filter(F.col("event_dt") > lit_ts(last_event))
+def fraud_report(inp: dict, report_ts: str) -> DataFrame:
+    """All three rules in one pass over cells ⟕ card profile, one row per alert.
+    No dedupe: the output is the same bag as appending the rules one after another."""
+    rows = alert_rows(with_persons(report_cells(inp), inp)).drop("card_num")
+    return repeat_rows(rows, "_m", spread=True).drop("_m").withColumn("report_dt", lit_ts(report_ts))

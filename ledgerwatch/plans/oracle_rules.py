@@ -5,6 +5,8 @@ is a real check."""
 
 from __future__ import annotations
 
+import re
+
 from ledgerwatch.sources.testtables import REPORT_TS, sql_with
 
 FIO = ("coalesce(cl.last_name, '') || ' ' || coalesce(cl.first_name, '') || ' ' "
@@ -48,6 +50,23 @@ R3_EARLIER = (f"SELECT d1 AS event_dt, passport, fio, phone, 3 AS event_type, "
 R3_LATER = (f"SELECT d2 AS event_dt, passport, fio, phone, 3 AS event_type, "
             f"TIMESTAMP '{REPORT_TS}' AS report_dt FROM pairs")
 
+# The whole report, and the same over the inputs of a first run.
+REPORT = (_report(f"{BLOCKED} OR {EXPIRED}", 1) + "\nUNION ALL\n" + _report(INVALID, 2) + "\nUNION ALL\n"
+          + R3_EARLIER + "\nUNION ALL\n" + R3_LATER)
+COUNTS = "SELECT event_dt, passport, fio, phone, event_type, {n} AS n FROM ({rows}) GROUP BY ALL"
+
+
+def _first_run(sql: str) -> str:
+    """The text over the first run's views."""
+    for name in ("tx", "term_h", "card_h", "acct_h", "cli_h", "bl", "j1", "pairs"):
+        sql = re.sub(rf"(FROM|JOIN) {name}\b", rf"\1 {name}_0", sql)
+    return sql
+
+
+_VIEWS = ("tx", "term_h", "card_h", "acct_h", "cli_h", "bl")
+BOTH_RUNS = sql_with(*_VIEWS, *[f"{v}_0" for v in _VIEWS],
+                     extra={"j1": J1, "pairs": PAIRS, "j1_0": _first_run(J1), "pairs_0": _first_run(PAIRS)})
+
 RULE_SQL = {
     "fraud_enriched": HEAD + "SELECT trans_id, trans_date, card_num, terminal, terminal_city, "
                              "account_num, valid_to, client_id, passport, fio, phone, "
@@ -59,10 +78,13 @@ RULE_SQL = {
     "fraud_rule3_earlier": HEAD.rstrip() + f",\npairs AS ({PAIRS})\n" + R3_EARLIER,
     "fraud_rule3_later": HEAD.rstrip() + f",\npairs AS ({PAIRS})\n" + R3_LATER,
     "fraud_rule3": HEAD.rstrip() + f",\npairs AS ({PAIRS})\n" + R3_EARLIER + "\nUNION ALL\n" + R3_LATER,
-    "fraud_report": (HEAD.rstrip() + f",\npairs AS ({PAIRS})\n"
-                     + _report(f"{BLOCKED} OR {EXPIRED}", 1) + "\nUNION ALL\n"
-                     + _report(INVALID, 2) + "\nUNION ALL\n"
-                     + R3_EARLIER + "\nUNION ALL\n" + R3_LATER),
+    "fraud_report": HEAD.rstrip() + f",\npairs AS ({PAIRS})\n" + REPORT,
+    # Two runs add up to what one run over everything reports.
+    "fraud_report_two_runs": HEAD.rstrip() + f",\npairs AS ({PAIRS})\n" + REPORT,
+    "fraud_report_counted": HEAD.rstrip() + f",\npairs AS ({PAIRS})\n" + COUNTS.format(n="count(*)", rows=REPORT),
+    "fraud_report_changes": BOTH_RUNS + "SELECT event_dt, passport, fio, phone, event_type, CAST(sum(n) AS BIGINT) AS n FROM ("
+                            + COUNTS.format(n="count(*)", rows=REPORT) + "\nUNION ALL\n"
+                            + COUNTS.format(n="-count(*)", rows=_first_run(REPORT)) + ") GROUP BY ALL HAVING sum(n) <> 0",
     # Pair counts per (card, second, city) cell over facts x terminal versions.
     "fraud_rule3_pairs": sql_with("tx", "term_h", extra={
         "r": "SELECT t.card_num, t.trans_date, te.terminal_city FROM tx t "

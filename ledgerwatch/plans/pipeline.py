@@ -12,6 +12,7 @@ Storage layout under ``cfg.warehouse``:
   fact_transactions/...  append-only batches, partitioned by trans_day
   fact_blacklist/...     append-only batches
   rep_fraud/...          append-only batches, partitioned by report_day
+  rep_alerts/...         counted alerts as signed changes (append-only), if asked for
   _manifest-<n>.json     table versions, batch lists, watermarks, consumed drops
 Nothing becomes visible before the manifest is published at the end; drops are
 archived only after it. The manifest lists the drops it has consumed (name,
@@ -26,11 +27,12 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerwatch.operators import capture, facts, rules, scd2
+from ledgerwatch.operators import alerts, capture, facts, rules, scd2
 from ledgerwatch.plans.store import Warehouse
 from ledgerwatch.session import drop_scratch, scratch_dir
-from ledgerwatch.schemas import (BLACKLIST_SCHEMA, DIMENSIONS, EPOCH_TS, PATTERN_BLACKLIST,
+from ledgerwatch.schemas import (ALERTS_SCHEMA, BLACKLIST_SCHEMA, DIMENSIONS, EPOCH_TS, PATTERN_BLACKLIST,
                                  PATTERN_TERMINALS, PATTERN_TRANSACTIONS, RAW_BLACKLIST_COLUMNS,
                                  RAW_TERMINAL_COLUMNS, RAW_TRANSACTION_COLUMNS, REPORT_SCHEMA,
                                  TRANSACTIONS_SCHEMA)
@@ -51,8 +53,11 @@ class PipelineConfig:
     compat_untrimmed_keys: bool = False
     # An empty fact batch resets the watermark, as the original loader did.
     compat_null_reset: bool = False
-    # Report only events later than the newest one reported before, instead of
-    # the whole history again each run.
+    # "full": every run reports the whole history again, one row per alert, as the original did.
+    # "counted": every run stores the signed changes of the counted alerts and reports nothing else.
+    # "new": as "counted", and the alerts that were not there before are reported, one row each.
+    report: str = "full"
+    # The same as report="new".
     only_new_since: bool = False
     drop_order: str = "date"
 
@@ -220,15 +225,8 @@ def _run(spark: SparkSession, cfg: PipelineConfig, run_ts: str, scratch: list[st
         if entity in cfg.sources:
             null_keys[entity] = _load_dimension(wh, entity, cfg.sources[entity], clock.next(), cfg, scratch)
 
-    # fraud report over the whole fact history and every dimension version
     report_ts = clock.next()
-    inp = _rule_inputs(wh)
-    report = rules.fraud_report(inp, report_ts)
-    if cfg.only_new_since:
-        before = wh.read_append("rep_fraud", REPORT_SCHEMA).agg(F.max("event_dt").alias("m")).first().m
-        if before is not None:
-            report = rules.only_new_since(report, before.strftime("%Y-%m-%d %H:%M:%S.%f"))
-    wh.append("rep_fraud", report.withColumn("report_day", F.to_date("report_dt")), ("report_day",))
+    _report(wh, "new" if cfg.only_new_since else cfg.report, run_ts, report_ts, scratch)
 
     # Drops that stay in the folder must be known to the next run; the marks of archived
     # files leave the list with the run after.
@@ -242,13 +240,53 @@ def _run(spark: SparkSession, cfg: PipelineConfig, run_ts: str, scratch: list[st
             "watermarks": dict(wh.manifest["watermarks"])}
 
 
+def _report(wh: Warehouse, mode: str, run_ts: str, report_ts: str, scratch: list[str]) -> None:
+    """The report of the run: the whole bag, or the changes of the counted alerts."""
+    if mode not in ("full", "counted", "new"):
+        raise ValueError(f"unknown report mode {mode!r}")
+    inp = _rule_inputs(wh)
+    if mode == "full":
+        report = rules.fraud_report(inp, report_ts)
+        wh.append("rep_fraud", report.withColumn("report_day", F.to_date("report_dt")), ("report_day",))
+        return
+    last = wh.manifest.get("alerts")
+    if last is None:
+        found = alerts.counted(inp)
+    else:
+        if run_ts <= last["upto"]:
+            raise ValueError(f"run {run_ts} is not later than the last report ({last['upto']})")
+        stored = wh.read_append("rep_alerts", ALERTS_SCHEMA)
+        found = alerts.changes(inp, _gained(wh, inp, last), stored, scratch)
+    added = wh.append("rep_alerts", found.withColumn("report_dt", F.lit(report_ts).cast("timestamp_ntz")))
+    if mode == "new":
+        report = alerts.expanded(added.where("n > 0"), report_ts)
+        wh.append("rep_fraud", report.withColumn("report_day", F.to_date("report_dt")), ("report_day",))
+    batches = wh.manifest.get("batches", {})
+    wh.manifest["alerts"] = {"upto": report_ts, "batches": {t: list(batches.get(t, [])) for t in ("fact_transactions", "fact_blacklist")}}
+
+
+def _gained(wh: Warehouse, inp: dict, last: dict) -> alerts.Changes:
+    """What the inputs have gained since the last counted report: batches of facts that it had not
+    seen, and versions that begin after it."""
+    seen = {t: last["batches"].get(t, []) for t in ("fact_transactions", "fact_blacklist")}
+    fresh = {t: set(wh.manifest.get("batches", {}).get(t, [])) - set(paths) for t, paths in seen.items()}
+    new = {e: inp[e].where(F.col("effective_from") > F.lit(last["upto"]).cast("timestamp_ntz")) for e in DIMENSIONS}
+    return alerts.Changes(
+        transactions=wh.read_append("fact_transactions", TRANSACTIONS_SCHEMA, seen["fact_transactions"]) if fresh["fact_transactions"] else None,
+        blacklist=wh.read_append("fact_blacklist", BLACKLIST_SCHEMA, seen["fact_blacklist"]) if fresh["fact_blacklist"] else None,
+        **{e: None if df.isEmpty() else df for e, df in new.items()})
+
+
+#: Facts as they are stored, with the day that partitions them.
+STORED_TRANSACTIONS = T.StructType([*TRANSACTIONS_SCHEMA.fields, T.StructField("trans_day", T.DateType())])
+
+
 def _rule_inputs(wh: Warehouse) -> dict:
     def hist(entity):
         spec = DIMENSIONS[entity]
         latest = wh.read(f"dim_{entity}_latest", spec.history_schema())
         return latest.unionByName(wh.read_append(f"dim_{entity}_archive", spec.history_schema()))
-    tx_schema = TRANSACTIONS_SCHEMA
-    return {"transactions": wh.read_append("fact_transactions", tx_schema),
+    return {"transactions": wh.read_append("fact_transactions", STORED_TRANSACTIONS),
             "terminals": hist("terminals"), "cards": hist("cards"), "accounts": hist("accounts"),
             "clients": hist("clients"),
             "blacklist": wh.read_append("fact_blacklist", BLACKLIST_SCHEMA)}
@@ -259,6 +297,7 @@ APPEND_TABLES = {
     "fact_transactions": (TRANSACTIONS_SCHEMA, ("trans_day",)),
     "fact_blacklist": (BLACKLIST_SCHEMA, ()),
     "rep_fraud": (REPORT_SCHEMA, ("report_day",)),
+    "rep_alerts": (ALERTS_SCHEMA, ()),
     **{f"dim_{e}_archive": (DIMENSIONS[e].history_schema(), ()) for e in DIMENSIONS},
 }
 
@@ -271,3 +310,8 @@ def compact_all(spark: SparkSession, warehouse: str, tables: list[str] | None =
 
 def read_report(spark: SparkSession, warehouse: str) -> DataFrame:
     return Warehouse(spark, warehouse).read_append("rep_fraud", REPORT_SCHEMA)
+
+
+def read_alerts(spark: SparkSession, warehouse: str, report_ts: str) -> DataFrame:
+    """The whole report as the counted alerts of all runs add up to, one row per alert."""
+    return alerts.expanded(Warehouse(spark, warehouse).read_append("rep_alerts", ALERTS_SCHEMA), report_ts)

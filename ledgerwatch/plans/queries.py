@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerwatch.functions import full_name
-from ledgerwatch.operators import rules
+from ledgerwatch.operators import alerts, rules
+from ledgerwatch.session import scratch_dir
 from ledgerwatch.sources import testtables as tt
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +74,36 @@ def q_fraud_report(spark, sf_dir):
     return rules.fraud_report(tt.rule_inputs(spark, sf_dir), tt.REPORT_TS)
 
 
+def _per_alert(counted: DataFrame) -> DataFrame:
+    columns = [k for k in alerts.KEY if k != "card_num"]
+    return counted.groupBy(*columns).agg(F.sum("n").alias("n")).where("n <> 0")
+
+
+@query("fraud_report_counted")
+def q_fraud_report_counted(spark, sf_dir):
+    return _per_alert(alerts.counted(tt.rule_inputs(spark, sf_dir)))
+
+
+def _two_runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The counted alerts stored by a first run, and the changes a second one adds."""
+    first, then = tt.rule_inputs_at_two_runs(spark, sf_dir)
+    path = scratch_dir(spark, "alerts-first-run")
+    alerts.counted(first).write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    return stored, alerts.changes(tt.rule_inputs(spark, sf_dir), alerts.Changes(**then), stored, [])
+
+
+@query("fraud_report_changes")
+def q_fraud_report_changes(spark, sf_dir):
+    return _per_alert(_two_runs(spark, sf_dir)[1])
+
+
+@query("fraud_report_two_runs")
+def q_fraud_report_two_runs(spark, sf_dir):
+    stored, added = _two_runs(spark, sf_dir)
+    return alerts.expanded(stored.unionByName(added), tt.REPORT_TS)
+
+
 @query("fn_full_name")
 def q_fn_full_name(spark, sf_dir):
     c = tt.clients_hist(spark, sf_dir)

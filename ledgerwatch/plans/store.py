@@ -187,10 +187,10 @@ class Warehouse:
             self.manifest["batches"][table] = batches
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def read_append(self, table: str, schema) -> DataFrame:
-        """All committed batches of an append-only table, projected to
+    def read_append(self, table: str, schema, besides: list[str] = ()) -> DataFrame:
+        """All committed batches of an append-only table but ``besides``, projected to
         ``schema`` (partition columns are discovered from the folders)."""
-        paths = self.manifest.get("batches", {}).get(table, [])
+        paths = [p for p in self.manifest.get("batches", {}).get(table, []) if p not in set(besides)]
         if not paths:
             return self.spark.createDataFrame([], schema)
         df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
@@ -218,6 +218,9 @@ class Warehouse:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         self.manifest["batches"][table] = [path] if has_data_files(self.spark, path) else []
+        reported = self.manifest.get("alerts", {}).get("batches", {})
+        if set(paths) <= set(reported.get(table, [])):
+            reported[table] = [path]  # nothing in it is new to the counted report
         self.publish()
         return len(paths)
 

@@ -102,6 +102,10 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("phone", STR), T.StructField("event_type", T.IntegerType()),
     T.StructField("report_dt", NTZ)])
 
+# Counted alerts: n is signed, rows of all runs add up.
+ALERTS_SCHEMA = T.StructType([
+    T.StructField("card_num", STR), *REPORT_SCHEMA.fields[:5], T.StructField("n", T.LongType()), REPORT_SCHEMA.fields[5]])
+
 # Watermark table: one row per target table.
 WATERMARK_SCHEMA = T.StructType([T.StructField("table_db", STR),
                                  T.StructField("table_name", STR),

@@ -179,6 +179,30 @@ def _rule_inputs(spark, sf_dir) -> dict[str, DataFrame]:
             "blacklist": blacklist(spark, sf_dir)}
 
 
+# -------------------------------------------------------- inputs at two runs
+#: Facts from here on come with the second run, and so do late ones from before.
+SECOND_RUN_FROM = "2024-01-20 12:00:00"
+_KEYS = {"terminals": "terminal_id", "cards": "card_num", "accounts": "account_num", "clients": "client_id"}
+
+
+def rule_inputs_at_two_runs(spark, sf_dir) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """(the rule inputs at a first run, what a second run adds): facts after a point in time and
+    every fiftieth one before it, the versions that replaced older ones, second blacklist entries."""
+    inp = rule_inputs(spark, sf_dir)
+    late = (F.col("trans_date") >= lit_ts(SECOND_RUN_FROM)) | (F.substring("trans_id", 2, 20).cast("long") % 50 == 0)
+    first, then = {"transactions": inp["transactions"].where(~late)}, {"transactions": inp["transactions"].where(late)}
+    for name, key in _KEYS.items():
+        old = inp[name].where(F.col("effective_from") == lit_ts(OLD_FROM))
+        now = inp[name].where(F.col("effective_from") == lit_ts(HIST_FROM))
+        first[name] = old.unionByName(now.join(old.select(key), key, "left_anti"))
+        then[name] = now.join(old.select(key), key, "left_semi")
+    second = F.substring("passport_num", 2, 20).cast("long") % 16 == 3
+    entry = _day_plus("2024-01-15", F.substring("passport_num", 2, 20).cast("long") % 20)
+    second = second & (F.col("entry_dt") == entry)
+    first["blacklist"], then["blacklist"] = inp["blacklist"].where(~second), inp["blacklist"].where(second)
+    return first, then
+
+
 # ------------------------------------------------------------ SCD2 snapshots
 def _present(day: int):
     n = F.col("_n")
@@ -318,6 +342,17 @@ FROM customer WHERE c_custkey % 16 = 3""",
 }
 
 
+# The same inputs as a first of two runs saw them.
+SQL_VIEWS |= {
+    "tx_0": f"SELECT * FROM tx WHERE trans_date < TIMESTAMP '{SECOND_RUN_FROM}' AND CAST(substr(trans_id, 2) AS BIGINT) % 50 <> 0",
+    **{f"{view}_0": f"SELECT * FROM {view} WHERE effective_from = TIMESTAMP '{OLD_FROM}' "
+                    f"OR {key} NOT IN (SELECT {key} FROM {view} WHERE effective_from = TIMESTAMP '{OLD_FROM}')"
+       for view, key in (("term_h", "terminal_id"), ("card_h", "card_num"), ("acct_h", "account_num"), ("cli_h", "client_id"))},
+    "bl_0": "SELECT 'N' || c_custkey AS passport_num, CAST(DATE '2024-01-10' + CAST(c_custkey % 20 AS INTEGER) AS TIMESTAMP) AS entry_dt "
+            "FROM customer WHERE c_custkey % 8 = 3",
+}
+
+
 def sql_with(*names: str, extra: dict | None = None) -> str:
     """A WITH clause defining the named views (plus extra name -> sql)."""
     parts = [f"{n} AS ({SQL_VIEWS[n]}\n)" for n in names]

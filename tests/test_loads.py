@@ -2,6 +2,7 @@
 
 import collections
 import datetime as dt
+from decimal import Decimal
 import os
 import random
 import tempfile
@@ -92,7 +93,7 @@ def test_stage_transactions_parsing(spark):
     out = capture.stage_transactions(raw, "2024-01-01 00:00:00").collect()
     assert len(out) == 1
     r = out[0]
-    assert (r.trans_id, r.card_num, r.terminal, str(r.amt)) == ("t1", "C1", "T1", "12.50")
+    assert (r.trans_id, r.card_num, r.terminal, r.amt) == ("t1", "C1", "T1", Decimal("12.5"))
 
 
 def test_stage_blacklist_day_grain(spark):
