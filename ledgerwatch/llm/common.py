@@ -11,7 +11,7 @@ from ledgerwatch.session import drop_scratch, scratch_dir
 
 #: Arrow batches handed to Python tasks hold at most this many bytes, so a run
 #: of very long texts cannot fill a worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -108,8 +108,9 @@ MAX_BITS = int(max(d for d in range(BITS // 2) if odd_similarity(np.array([d]))[
 
 
 def sketch(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, k1, k2 (the set's name), bands, odd. Empty sets have null names."""
-    schema = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, odd binary"
+    """doc_id, n_shingles, k1, k2 (the set's name), bands, odd. Empty sets have null names.
+    Ids may be of any type that has an order."""
+    schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_shingles long, k1 long, k2 long, bands array<long>, odd binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,13 +337,20 @@ def op5_minhash_odd_sketch(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component, the one with the smallest id; documents without a
-    set all stay. Rows that repeat the kept id stay once per different text."""
-    found = near_duplicates(docs).where("k1 is not null")
-    dropped = written(found.where("not kept").select(F.col("doc_id").alias("__id")).distinct(), "dropped")
-    again = written(found.where("kept").groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                    .select(F.col("component_id").alias("__id")), "again")
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    rest = docs.join(dropped, same, "left_anti")
+    set all stay. A row is told by its id and text, so rows that share an id (or have none) go or
+    stay each by their own text; of equal rows one stays."""
+    # Missing ids come last.
+    row = F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text"))
+    found = near_duplicates(docs.select(row.alias("doc_id"), "text")).where("k1 is not null")
+    dropped = written(found.where("not kept").select(F.col("doc_id").alias("row")).distinct(), "dropped")
+    again = written(found.where("kept").groupBy(F.col("doc_id").alias("row")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row"), "again")
+
+    def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        # The caller's columns travel in one struct, so no name of theirs meets one of these.
+        held = rows.select(F.struct("*").alias("doc"), row.alias("own")).join(keys, F.col("own").eqNullSafe(F.col("row")), how)
+        return held.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+
+    rest = among(docs, dropped, "left_anti")
     if not again.take(1):
         return rest
-    return rest.join(again, same, "left_anti").unionByName(rest.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return among(rest, again, "left_anti").unionByName(among(rest, again, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -60,13 +60,14 @@ def mix(documents: DataFrame, weights: dict[str, float] | None = None, epochs: f
     documents = documents.drop("copy", "rate", "shuffle_key")
     # Written first, so the planner knows how small it is and needn't shuffle the documents.
     per = written(rates(documents, WEIGHTS if weights is None else weights, epochs), "rates")
-    per = per.select(F.col("source").alias("__source"), "rate", "cdf")
-    drawn = documents.join(per, F.col("source").eqNullSafe(F.col("__source")))
-    u = uniform(F.col("doc_id"), seed=seed)
-    copies = drawn.withColumn("__n", F.size(F.filter("cdf", lambda c: c <= u))).where("__n > 0")
-    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n").cast("long"))))
-    key = uniform(F.col("doc_id"), F.col("copy"), seed=f"{seed}-order")
-    out = copies.withColumn("shuffle_key", key).select(*documents.columns, "copy", "rate", "shuffle_key")
+    # The caller's columns travel in one struct, so no name of theirs meets one of these.
+    doc = F.col("doc")
+    drawn = documents.select(F.struct("*").alias("doc")).join(per, doc["source"].eqNullSafe(F.col("source")))
+    u = uniform(doc["doc_id"], seed=seed)
+    copies = drawn.withColumn("n", F.size(F.filter("cdf", lambda c: c <= u))).where("n > 0")
+    copies = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long"))))
+    key = uniform(doc["doc_id"], F.col("copy"), seed=f"{seed}-order")
+    out = copies.withColumn("shuffle_key", key).select(*[doc[c].alias(c) for c in documents.columns], "copy", "rate", "shuffle_key")
     return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 

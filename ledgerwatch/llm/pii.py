@@ -281,7 +281,8 @@ def op9_pii_weak_supervision(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every span replaced by its kind in brackets, and n_chars made to fit."""
-    found = spans(docs)
+    # The caller's columns travel in one struct, so no name of theirs meets one of the operator's.
+    found = spans(docs.select(F.struct("*").alias("doc"), "text"))
     every = F.array_sort(F.concat(*[_marked(k) for k in KINDS], F.col("__added")))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -293,6 +294,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     masked = F.aggregate(every, start, step, lambda acc: F.concat(acc["out"], _chars(text, acc["at"], F.length(text))))
     out = found.withColumn("text", F.when(F.size(every) > 0, masked).otherwise(text))
+    fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[fresh.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
