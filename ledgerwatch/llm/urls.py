@@ -71,7 +71,7 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("n")))
 
 
-def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """(kind, host, rank). links: src, dst, n. seeds: kind (allow or block), host, seed (sums
     to one per kind). Trust follows links, distrust goes against them."""
     both = links.select(F.lit("allow").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
@@ -94,12 +94,12 @@ def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
         moved = fresh.join(rank.withColumnRenamed("rank", "old"), ["kind", "host"], "left").agg(
             F.sum(F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0)))).alias("d")).first().d
         rank = fresh
-        if (moved or 0.0) <= TOLERANCE:
+        if (moved or 0.0) <= tolerance:
             break
     return rank
 
 
-def judge(pages: DataFrame, rules=RULES) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, tolerance: float = TOLERANCE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust."""
     url = F.col("url")
     asked = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"))
@@ -109,7 +109,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     counts = written(counts, "seed-counts")
     total = {r.kind: r.n for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     whole = F.when(F.col("kind") == "allow", F.lit(float(total.get("allow", 1)))).otherwise(F.lit(float(total.get("block", 1))))
-    rank = propagate(host_links(pages), counts.select("kind", "host", (F.col("n") / whole).alias("seed")))
+    rank = propagate(host_links(pages), counts.select("kind", "host", (F.col("n") / whole).alias("seed")), tolerance)
     hosts = written(rank.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "allow", F.col("rank"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "block", F.col("rank"))), F.lit(0.0)).alias("distrust")), "host-ranks")
