@@ -1,9 +1,11 @@
 """Benchmark decontamination by pigeonhole edit matching (operator 3).
 
 Texts and items are normalised to lower-case (A-Z) words of letters, digits and
-non-ASCII characters, one space before each. An item may differ from a passage
-by up to ERROR_RATE of its bytes. An item with a budget of d edits is cut at
-word starts into d + 1 pieces; whatever the edits, one piece stays whole, so
+non-ASCII characters, one space before each; a character of a script written
+without spaces is a word of its own. An item may differ from a passage
+by up to ERROR_RATE of its bytes. An item with a budget of d edits is cut
+into d + 1 pieces, at word starts where the words allow it and at any byte
+elsewhere; whatever the edits, one piece stays whole, so
 each exact hit of a piece is a candidate and no match is missed. Candidates are
 verified with Myers' bit-parallel edit distance over the passage around the hit.
 
@@ -11,7 +13,7 @@ Items are taken in blocks of bounded size, and each block is matched against
 all documents where they lie; documents are never shuffled.
 
 Defined results: null, empty and wordless texts or items match nothing; an item
-too short for d + 1 pieces of PROBE bytes has its budget lowered until they fit;
+starts where a word does, or spends an edit on the missing space;
 repeated rows match alike; further columns are ignored.
 """
 
@@ -26,27 +28,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import tokens as tk
-from ledgerwatch.llm.common import prepare, table
+from ledgerwatch.llm.common import prepare, table, written
 
 ERROR_RATE = 0.05
 #: Bytes by which a piece is looked up before it is compared in full.
 PROBE = 12
 #: Items and bytes of items in one block.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 8 << 20
+#: Blocks whose items the driver holds at a time; what they leave is written before the next ones.
+HELD_BLOCKS = 8
 
 _FOLD = np.where(tk.ALNUM, np.arange(256), 32).astype(np.uint8)
 _FOLD[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
+def _unspaced(raw: np.ndarray) -> np.ndarray:
+    """Where the characters of scripts written without spaces begin and end: U+3000 to U+9FFF and
+    from U+10000 on by their first byte, Thai, Lao, Myanmar and Khmer by their first two."""
+    lead = np.flatnonzero(raw >= 0xE0)
+    first, second = raw[lead], raw[np.minimum(lead + 1, len(raw) - 1)]
+    own = ((first >= 0xE3) & (first <= 0xE9)) | (first >= 0xF0)
+    own |= (first == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    own |= (first == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    lead = lead[own]
+    return np.union1d(lead, lead + np.where(raw[lead] >= 0xF0, 4, 3))
+
+
 def normalise(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) with one space before each word; other separators go. A
     document's last byte may be a space, which then also opens the next one."""
-    wide = np.insert(_FOLD[raw], offsets[:-1], 32)
+    apart = _unspaced(raw)
+    wide = np.insert(_FOLD[raw], np.sort(np.concatenate([offsets[:-1], apart])), 32)
     keep = wide != 32
     keep[1:] |= wide[:-1] != 32
     if len(keep):
         keep[0] = True
-    heads = offsets + np.arange(len(offsets))
+    heads = offsets + np.arange(len(offsets)) + np.searchsorted(apart, offsets)
     kept = np.append(np.cumsum(keep), int(keep.sum()) + 1)  # behind the last document lies no byte
     return wide[keep], kept[heads] - 1
 
@@ -58,20 +75,18 @@ def normalise_one(text: str | None) -> bytes:
 
 
 def pieces(item: bytes, rate: float = ERROR_RATE) -> list[int]:
-    """Starts of budget-plus-one pieces (plus the end): cuts at word starts, pieces of
-    PROBE bytes at least, about equally long."""
+    """Starts of budget-plus-one pieces (plus the end), about equally long and of PROBE bytes at
+    least where the item has as many: cuts at word starts, or at any byte where none is in reach."""
     n = len(item)
+    budget = int(rate * n)
+    least = min(PROBE, n // (budget + 1))
     starts = [i for i in range(1, n) if item[i] == 32]
-    for budget in range(int(rate * n), -1, -1):
-        cuts = [0]
-        for j in range(1, budget + 1):
-            room = [s for s in starts if s >= cuts[-1] + PROBE and s <= n - PROBE * (budget + 1 - j)]
-            if not room:
-                break
-            cuts.append(min(room, key=lambda s: abs(s - n * j / (budget + 1))))
-        if len(cuts) == budget + 1:
-            return [*cuts, n]
-    return [0, n]
+    cuts = [0]
+    for j in range(1, budget + 1):
+        low, high, goal = cuts[-1] + least, n - least * (budget + 1 - j), n * j / (budget + 1)
+        room = [s for s in starts if low <= s <= high]
+        cuts.append(min(room, key=lambda s: abs(s - goal)) if room else min(max(low, round(goal)), high))
+    return [*cuts, n]
 
 
 def myers(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -115,20 +130,21 @@ class Matcher:
     def __init__(self, items: list[tuple[int | None, bytes]], rate: float = ERROR_RATE):
         self.items = [(i, t) for i, t in items if t]
         self.budget: list[int] = []
-        found: dict[int, list[tuple[int, int, int, bytes]]] = defaultdict(list)  # probe size -> item, offset in it, bytes
+        # (probe size, whether it starts a word) -> item, start and end in it, bytes
+        found: dict[tuple[int, bool], list[tuple[int, int, int, bytes]]] = defaultdict(list)
         for no, (_, t) in enumerate(self.items):
             cuts = pieces(t, rate)
             self.budget.append(len(cuts) - 2)
             for a, b in zip(cuts, cuts[1:], strict=False):
-                found[min(PROBE, b - a)].append((no, a, b, t[a:b]))
+                found[min(PROBE, b - a), t[a] == 32].append((no, a, b, t[a:b]))
         self.sizes = {}
-        for size, own in found.items():
+        for (size, at_word), own in found.items():
             first = np.array([np.frombuffer(p[3][:size].ljust(PROBE, b"\0"), np.uint8) for p in own])
             keys = _probe(first, size)
             order = np.argsort(keys, kind="stable")
             coarse = np.zeros(1 << 18, bool)
             coarse[(keys >> np.uint64(46)).astype(np.int64)] = True
-            self.sizes[size] = (keys[order], coarse, [own[i] for i in order])
+            self.sizes[size, at_word] = (keys[order], coarse, [own[i] for i in order])
 
     def hits(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(document, item number, edits) of each item found in each document."""
@@ -137,9 +153,10 @@ class Matcher:
         padded = np.concatenate([buf, np.zeros(PROBE, np.uint8)])
         view = np.lib.stride_tricks.sliding_window_view(padded, PROBE)
         near: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for size, (keys, coarse, own) in self.sizes.items():
-            for lo in range(0, len(starts), 1 << 17):
-                part = starts[lo:lo + (1 << 17)]
+        for (size, at_word), (keys, coarse, own) in self.sizes.items():
+            places = starts if at_word else np.arange(len(buf))
+            for lo in range(0, len(places), 1 << 17):
+                part = places[lo:lo + (1 << 17)]
                 h = _probe(view[part], size)
                 some = np.flatnonzero(coarse[(h >> np.uint64(46)).astype(np.int64)])
                 first = np.searchsorted(keys, h[some])
@@ -167,7 +184,7 @@ class Matcher:
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Matcher]:
-    """Matchers over bounded blocks of the items; only one block is at the driver at a time."""
+    """Matchers over bounded blocks of the items, collected one at a time."""
     items = benchmark.select("item_id", "text").where("text is not null")
     n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, -(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
@@ -182,7 +199,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     prepare(documents.sparkSession)
     schema = "doc_id long, item_id long, edits long, budget long"
     out = None
-    for matcher in blocks(benchmark):
+    for i, matcher in enumerate(blocks(benchmark), 1):
         def run(batches: Iterator[pa.RecordBatch], matcher: Matcher = matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part, raw, offsets in tk.chunks(batch, "text"):
@@ -194,6 +211,8 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         got = documents.select("doc_id", "text").mapInArrow(run, schema)
         out = got if out is None else out.unionByName(got)
+        if i % HELD_BLOCKS == 0:
+            out = written(out, "matches")
     return out
 
 
@@ -204,7 +223,7 @@ def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within its budget."""
     prepare(spark)
-    for matcher in blocks(table(spark, sf_dir, "benchmark")):
+    for i, matcher in enumerate(blocks(table(spark, sf_dir, "benchmark")), 1):
         def run(batches: Iterator[pa.RecordBatch], matcher: Matcher = matcher) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part, raw, offsets in tk.chunks(batch, "text"):
@@ -212,4 +231,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
                     yield part.filter(pa.array([i not in bad for i in range(part.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if i % HELD_BLOCKS == 0:
+            docs = written(docs, "decontaminated")
     return docs

@@ -180,6 +180,39 @@ def test_decontamination_against_brute_force(spark):
     assert again.count() == 0 and decontaminate.matches(docs_of(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_text_without_spaces(spark):
+    """Items in scripts without spaces, in one long word, and of 20 to 23 bytes keep their whole budget."""
+    rng = random.Random(5)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(60))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(60))
+    code = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(120))
+    short = "abcdefghij klmnopqrs"
+    items = [han, thai, code, short]
+    rows, planted = [], set()
+    for no, t in enumerate(items):
+        at = len(t) // 2
+        for form in (t, t[:at] + ("好" if no == 0 else "ฮ" if no == 1 else "X") + t[at + 1:]):
+            before, after = (("前文", "後文") if no == 0 else ("กขค", "งจฉ") if no == 1 else ("some words ", " and others"))
+            planted.add((len(rows), no))
+            rows.append((len(rows), before + form + after))
+    rows.append((99, "前文" + "".join(rng.sample(han, 60)) + "後文 " + code[::-1]))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.matches(docs_of(spark, rows), bench).collect()}
+    assert set(got) == planted
+    for (d, i), edits in got.items():
+        assert edits == edit_distance_in(decontaminate.normalise_one(items[i]), decontaminate.normalise_one(rows[d][1]))
+
+
+@pytest.mark.parametrize("texts", [["中a文", "", "b", "文中"], ["𠀀x", "ก", " ข ", "中"], ["", "中", ""]])
+def test_normalised_bounds(texts):
+    """Each document's slice of a batch is its own normal form."""
+    raw = "".join(texts).encode()
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    buf, bounds = decontaminate.normalise(np.frombuffer(raw, np.uint8), offsets)
+    for i, t in enumerate(texts):
+        assert buf[bounds[i]:bounds[i + 1]].tobytes().strip() == decontaminate.normalise_one(t).strip()
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     rng = random.Random(4)
     items = [(k, prose(rng, 15)) for k in range(6)]
