@@ -3,15 +3,18 @@
 All terms of the labelled sample are features. A text is its TF-IDF vector over
 them, document frequencies being counted over all documents; a term weighs more
 the more the sample ties it to either class (chi-square). Each text takes part in
-a vote of its nearest labelled examples by exact cosine, summed over the postings
-of an inverted index. Votes weigh by distance, and by how many labelled rows of its class
-an example stands for; they are calibrated on leave-one-out votes of the
-examples themselves.
+a vote of its nearest labelled examples by exact cosine. They come from a block-max
+inverted index: examples of like terms lie in blocks; of a text's long lists that add
+least only the greatest weight in each block is looked at first, and those blocks are opened
+whose bound reaches the nearest examples found.
+Votes weigh by distance, and by how many labelled rows of its class an example
+stands for; they are calibrated on leave-one-out votes of the examples themselves.
 
 Defined results: a null or empty text, and a text without any feature, has no
 neighbours and gets the calibrated prior; equal similarities go to the smaller
 example number; a label table without rows of both classes gives every text the
-observed (or one half) prior below 0.5; repeated rows are scored alike; further
+observed (or one half) prior below 0.5; repeated rows are scored alike; of the texts
+of a repeated labelled id the least term vector is the example; further
 columns of either table are ignored.
 """
 
@@ -35,50 +38,114 @@ MAX_EXAMPLES = 3000
 FULL_CHI2 = 30.0
 LEAST_WEIGHT = 0.05
 NEIGHBOURS = 15
+#: Examples in a block of the index.
+BLOCK = 8
+#: Lists whose greatest contributions sum up to this share of the bound are left to the blocks.
+BOUNDED = 0.2
 #: A vote has this much of the prior in it.
 PRIOR_WEIGHT = 0.25
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first[i] .. first[i] + size[i] - 1 of each i, one after the other."""
+    return np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+
+
 class Index:
-    """Inverted index over unit vectors of the examples."""
+    """Block-max inverted index over unit vectors of the examples."""
 
     def __init__(self, terms: np.ndarray, idf: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]],
                  labels: np.ndarray, ids: np.ndarray, weights: np.ndarray | None = None):
-        order = np.lexsort((np.arange(len(ids)), [int(v[0][0]) if len(v[0]) else -1 for v in vectors]))
         self.terms, self.idf = terms, idf
+        n = len(ids)
+        dense = [self.unit(*v) for v in vectors]
+        # Examples of the same heaviest terms share blocks, so the bounds tell blocks apart.
+        heavy = np.full((n, 3), -1)
+        for i, (t, w) in enumerate(dense):
+            best = t[np.lexsort((t, -w))[:3]]
+            heavy[i, :len(best)] = best
+        order = np.lexsort((np.arange(n), *heavy.T[::-1]))
+        dense = [dense[i] for i in order]
         self.labels, self.ids = labels[order].astype(float), ids[order]
-        n = len(order)
         #: Labelled rows that an example of the bounded sample stands for, one on average.
         self.stands = (np.ones(n) if weights is None or not n else weights / weights.mean())[order]
-        dense = [self.unit(*vectors[i]) for i in order]
-        # Postings of all terms, by term and example: those of term t are at[t]:at[t + 1].
+        # Postings of all terms, by term and example.
         term = np.concatenate([t for t, _ in dense] or [np.zeros(0, np.int64)])
         row = np.repeat(np.arange(n), [len(t) for t, _ in dense])
         by = np.lexsort((row, term))
-        self.at = np.searchsorted(term[by], np.arange(len(terms) + 1))
-        self.rows = row[by].astype(np.int32)
+        term, row = term[by], row[by]
+        self.rows = row.astype(np.int32)
         self.weights = np.concatenate([w for _, w in dense] or [np.zeros(0)])[by]
+        # A cell is a term's postings in one block: those of cell c are start[c]:start[c + 1], and
+        # the cells of term t are cells[t]:cells[t + 1].
+        self.blocks = -(-n // BLOCK)
+        self.heads = np.arange(0, n, BLOCK)
+        #: Lists of so many postings at most have less than one a block and are read whole.
+        self.short = n // BLOCK
+        cut = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (row[1:] // BLOCK != row[:-1] // BLOCK))[:len(term)])
+        self.start = np.append(cut, len(term)).astype(np.int32)
+        self.block = (row[cut] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weights, cut) if len(cut) else np.zeros(0)
+        #: The greatest weight of each term.
+        self.top = np.zeros(len(terms))
+        np.maximum.at(self.top, term[cut], self.most)
+        self.cells = np.searchsorted(term[cut], np.arange(len(terms) + 1)).astype(np.int32)
         self.prior = float(np.average(self.labels, weights=self.stands)) if n else 0.0
         self.slope, self.shift = 1.0, 0.0
         self.seen: dict = {}
+        #: Blocks opened and postings read so far.
+        self.opened = self.read = 0
 
     def unit(self, t: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1.0 + np.log(tf)) * self.idf[t]
         norm = math.sqrt(float(w @ w)) if len(w) else 0.0
         return (t, w / norm) if norm > 0 else (t[:0], w[:0])
 
+    @staticmethod
+    def kth(cos: np.ndarray, k: int) -> float:
+        return float(np.partition(cos, len(cos) - k)[len(cos) - k]) if len(cos) >= k else 0.0
+
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(example rows, cosines) of the k nearest with a cosine above zero."""
-        lo, size = self.at[t], self.at[t + 1] - self.at[t]
-        first = np.cumsum(size) - size
-        place = np.arange(size.sum()) + np.repeat(lo - first, size)
-        cos = np.bincount(self.rows[place], self.weights[place] * np.repeat(w, size), len(self.ids))
+        first, size = self.start[self.cells[t]], self.start[self.cells[t + 1]] - self.start[self.cells[t]]
+        # Long lists that add least are bounded by block; all others are read whole.
+        gain = w * self.top[t]
+        by = np.argsort(gain, kind="stable")
+        small = np.empty(len(t), bool)
+        small[by] = np.cumsum(gain[by]) <= BOUNDED * gain.sum()
+        short = ~small | (size <= self.short)
+        place = _ranges(first[short], size[short])
+        cos = np.bincount(self.rows[place], self.weights[place] * np.repeat(w[short], size[short]), len(self.ids)).astype(float)
         if skip >= 0:
             cos[skip] = 0.0
-        rows = np.flatnonzero(cos > 0)
-        if len(rows) > k:
-            least = np.partition(cos[rows], len(rows) - k)[len(rows) - k]
-            rows = rows[cos[rows] >= least - 1e-11]
+        self.read += len(place)
+        least = self.kth(cos, k)
+        t, w = t[~short], w[~short]
+        size = self.cells[t + 1] - self.cells[t]
+        cell, weight = _ranges(self.cells[t], size), np.repeat(w, size)
+        block = self.block[cell]
+        bound = np.bincount(block, self.most[cell] * weight, self.blocks).astype(float)
+        if self.blocks:
+            bound[bound > 0] += np.maximum.reduceat(cos, self.heads)[bound > 0]
+        # The blocks of the highest bounds first; then all that could still hold a nearer one.
+        todo, some = np.flatnonzero(bound), -(-k // BLOCK) + 1
+        best = todo[np.argpartition(-bound[todo], some)[:some]] if len(todo) > some else todo
+        for turn in range(2):
+            now = best if turn == 0 else todo[bound[todo] >= least - 1e-11]
+            chosen = np.zeros(self.blocks, bool)
+            chosen[now] = True
+            if turn:
+                chosen[best] = False
+            opens = np.flatnonzero(chosen[block])
+            first = self.start[cell[opens]]
+            size = self.start[cell[opens] + 1] - first
+            place = _ranges(first, size)
+            cos += np.bincount(self.rows[place], self.weights[place] * np.repeat(weight[opens], size), len(cos))
+            if skip >= 0:
+                cos[skip] = 0.0
+            self.opened, self.read = self.opened + int(chosen.sum()), self.read + len(place)
+            least = self.kth(cos, k)
+        rows = np.flatnonzero((cos > 0) & (cos >= least - 1e-11))
         rows = rows[np.lexsort((rows, -np.round(cos[rows], 12)))[:k]]
         return rows, np.minimum(cos[rows], 1.0)
 
@@ -216,7 +283,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Index:
                      pa.array([c.tolist() for _, c in got], pa.list_(pa.int32()))], names=["doc_id", "toxic", "terms", "counts"])
 
     rows = (examples.mapInArrow(vectors, "doc_id long, toxic int, terms array<int>, counts array<int>")
-            .dropDuplicates(["doc_id"]).orderBy("doc_id").collect())  # bounded as the sample is
+            .groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "toxic")).alias("v")).select("doc_id", "v.*")
+            .orderBy("doc_id").collect())  # bounded as the sample is
     vec = [(np.array(r.terms, dtype=np.int64), np.array(r.counts, dtype=np.int64)) for r in rows]
     y = np.array([r.toxic for r in rows], dtype=float)
     whole = {r.toxic: r.n for r in usable_labels(labels).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -424,6 +424,45 @@ def test_index_finds_the_nearest_by_exact_cosine():
         assert [r for _, r in best] == rows.tolist() and np.allclose([-s for s, _ in best], got)
 
 
+def test_index_leaves_blocks_shut():
+    """Long lists of little weight are bounded by block: few blocks open, and the nearest are the same."""
+    rng = np.random.default_rng(2)
+    topics, common = 60, 30
+    terms = np.arange(common + 8 * topics, dtype=np.uint64)
+    idf = np.where(terms < common, 0.2, 6.0)
+    vec = []
+    for i in range(1200):
+        own = common + 8 * (i % topics) + rng.choice(8, 6, replace=False)
+        t = np.sort(np.concatenate([rng.choice(common, 20, replace=False), own]))
+        vec.append((t, rng.integers(1, 4, len(t))))
+    index = toxicity.Index(terms, idf, vec, rng.integers(0, 2, 1200).astype(float), np.arange(1200))
+    dense = np.zeros((1200, len(terms)))
+    for i, (t, c) in enumerate(vec):
+        u, w = index.unit(t, c)
+        dense[np.flatnonzero(index.ids == i)[0], u] = w
+    postings = sum((dense[:, t] > 0).sum() for t, _ in vec[:100])
+    for i, (t, c) in enumerate(vec[:100]):
+        u, w = index.unit(t, c)
+        own = int(np.flatnonzero(index.ids == i)[0])
+        cos = dense[:, u] @ w
+        cos[own] = 0.0
+        best = sorted(((-round(s, 12), r) for r, s in enumerate(cos) if s > 1e-15))[:9]
+        assert [r for _, r in best] == index.nearest(u, w, 9, skip=own)[0].tolist()
+    assert index.opened < 0.2 * 100 * index.blocks and index.read < 0.3 * postings
+
+
+def test_toxicity_of_a_repeated_labelled_id(spark):
+    """Of two texts of a labelled id one example is made, the same in any order of the rows."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"w{i} foul" if i % 2 else f"w{i} fair") for i in ids] + [(ids[0], "quite another text")]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    got = []
+    for some in (rows, rows[::-1]):
+        index = toxicity.fit(docs_of(spark, some).repartition(3), labels)
+        got.append((index.ids.tolist(), index.weights.tolist()))
+    assert got[0] == got[1] and sorted(got[0][0]) == ids
+
+
 def test_toxicity_finds_copies_of_examples_with_rare_words(spark):
     """A copy of a toxic example none of whose words tells the classes apart has that neighbour."""
     ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
