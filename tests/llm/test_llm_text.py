@@ -400,6 +400,20 @@ def test_passages_of_words_that_stand_elsewhere(spark):
     assert got == {10_000 + d: (15, 70) for d in range(12)}
 
 
+def test_pieces_of_several_documents_are_no_passage(spark):
+    """Three 20-word pieces of three documents side by side share 20 words with each, no passage;
+    two passages of two documents that touch are one."""
+    rng = random.Random(13)
+    own = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    p = [own(20) for _ in range(3)]
+    rows = [(i, " ".join(own(30) + p[i] + own(30))) for i in range(3)] + [(3, " ".join(own(30) + sum(p, []) + own(30)))]
+    q, r = own(60), own(70)
+    rows += [(10, " ".join(own(30) + q + own(30))), (11, " ".join(own(30) + r + own(30))), (12, " ".join(own(30) + q + r + own(30)))]
+    for parts in (1, 3):
+        got = {x.doc_id: (x.start_word, x.end_word) for x in passages.shared_passages(docs_of(spark, rows).repartition(parts)).collect()}
+        assert got == {10: (30, 90), 11: (30, 100), 12: (30, 160)}
+
+
 # Toxicity
 
 def test_index_finds_the_nearest_by_exact_cosine():
