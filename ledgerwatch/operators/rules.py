@@ -5,7 +5,9 @@ business key alone (version dates and the deleted flag are ignored), so a
 dimension with k versions multiplies rows by k. That bag semantics is kept.
 
 Plan shape, chosen for scale:
-* ``R`` = facts LEFT JOIN terminal versions (city only).
+* ``R`` = facts LEFT JOIN terminal versions (city only). Only the enriched frame needs raw facts
+  there, and spreads hot terminals and cards (``skew``); rules 1 and 2 send counts of alerts,
+  rule 3 and the report counts of facts.
 * ``P`` = card -> account -> client -> blacklist chain, dimensions only. It is a
   function of ``card_num`` alone, so the fact side joins it once on one key.
   Left-join associativity makes ``R ⟕ P`` equal to the five-way chain.
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions import epoch_micros, full_name, lit_ts
 from ledgerwatch.schemas import (EVENT_BLOCKED_OR_EXPIRED_PASSPORT, EVENT_INVALID_CONTRACT,
                                  EVENT_TWO_CITIES_ONE_HOUR)
+from ledgerwatch.operators.skew import hot_keys, spread_left_join
 
 HOUR_US = 3600 * 1_000_000
 REPEAT_CHUNK = 4096
@@ -63,12 +66,6 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
         "phone", "passport_valid_to", "bl_passport", "entry_dt")
 
 
-def _inputs(inp: dict) -> tuple[DataFrame, DataFrame]:
-    r = with_terminal_city(inp["transactions"], inp["terminals"])
-    p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"])
-    return r, p
-
-
 def _person_of_missing_card() -> list[Column]:
     # A fact with no card match keeps one row of NULL person fields; its
     # name is still the concatenation of three empty parts.
@@ -76,9 +73,14 @@ def _person_of_missing_card() -> list[Column]:
 
 
 def enriched(inp: dict) -> DataFrame:
-    """J1 as one frame: facts LEFT JOIN every dimension version and blacklist entry."""
-    r, p = _inputs(inp)
-    e = r.join(p, "card_num", "left")
+    """J1 as one frame: facts LEFT JOIN every dimension version and blacklist entry.
+
+    Here raw facts have to meet both sides, so the rows of hot terminals and cards are spread."""
+    tx = inp["transactions"]
+    t = inp["terminals"].select("terminal_id", "terminal_city")
+    p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"]).withColumnRenamed("card_num", "_card")
+    r = spread_left_join(tx, t, "terminal", "terminal_id", hot_keys(tx, "terminal"))
+    e = spread_left_join(r, p, "card_num", "_card", hot_keys(tx, "card_num"))
     return e.select("trans_id", "trans_date", "card_num", "terminal", "terminal_city",
                     "account_num", "valid_to", "client_id", "passport",
                     *_person_of_missing_card(), "phone", "passport_valid_to", "entry_dt")
@@ -105,29 +107,26 @@ def _report(df: DataFrame, event_type: int, report_ts: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- rules 1 and 2
-def weighted_facts(transactions: DataFrame, terminals: DataFrame) -> DataFrame:
-    """Facts with the number of versions of their terminal (1 when none).
-
-    Rules 1 and 2 use the terminal join only for its multiplicity, so the
-    facts carry it as a weight instead of being multiplied by versions before
-    the profile join; rows are expanded only after the filter."""
-    tv = terminals.groupBy("terminal_id").agg(F.count(F.lit(1)).alias("_tv"))
-    f = transactions.join(tv, transactions["terminal"] == tv["terminal_id"], "left")
-    return f.select("card_num", "trans_date", F.coalesce("_tv", F.lit(1)).cast("long").alias("_w"))
-
-
 def _weighted_rule(inp: dict, p_side: Column, cond: Column, event_type: int, report_ts: str) -> DataFrame:
+    """Alerts of one fact and one person, times the versions of the fact's terminal (1 when none).
+
+    These rules use the terminal join only for its multiplicity. Facts meet the profile first, and
+    those that raise an alert are counted per alert and terminal; the counts alone meet the
+    terminals, and are expanded last."""
     p = card_profile(inp["cards"], inp["accounts"], inp["clients"], inp["blacklist"])
-    f = weighted_facts(inp["transactions"], inp["terminals"])
-    e = f.join(p.filter(p_side), "card_num", "inner").filter(cond)
-    rows = e.select("trans_date", "passport", "fio", "phone", F.col("_w").alias("_m"))
-    return _report(repeat_rows(rows, "_m"), event_type, report_ts)
+    f = inp["transactions"].select("card_num", "trans_date", "terminal")
+    raised = (f.join(p.filter(p_side), "card_num", "inner").filter(cond)
+               .groupBy("trans_date", "passport", "fio", "phone", "terminal").agg(F.count(F.lit(1)).alias("_n")))
+    versions = inp["terminals"].groupBy("terminal_id").agg(F.count(F.lit(1)).alias("_tv"))
+    rows = raised.join(versions, raised["terminal"] == versions["terminal_id"], "left")
+    rows = rows.withColumn("_m", F.col("_n") * F.coalesce("_tv", F.lit(1)))
+    return _report(repeat_rows(rows.select("trans_date", "passport", "fio", "phone", "_m"), "_m"), event_type, report_ts)
 
 
 def rule1(inp: dict, report_ts: str, which: str = "both") -> DataFrame:
     """Blocked or expired passport. Only facts whose chain reaches a client
     with a usable date can qualify, so the profile is pre-filtered and joined
-    inner; the terminal fan-out is kept as a weight."""
+    inner."""
     cond = {"both": blocked() | expired(), "blocked": blocked(), "expired": expired()}[which]
     p_side = {"both": F.col("entry_dt").isNotNull() | F.col("passport_valid_to").isNotNull(),
               "blocked": F.col("entry_dt").isNotNull(),
