@@ -25,10 +25,11 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerwatch.functions import lit_ts
 from ledgerwatch.operators import alerts, capture, facts, rules, scd2
 from ledgerwatch.plans.store import Warehouse
 from ledgerwatch.session import drop_scratch, scratch_dir
@@ -115,16 +116,18 @@ def _load_dimension(wh: Warehouse, entity: str, source: DataFrame, run_ts: str,
         new_latest, retired = scd2.split_latest(spec, m, latest, staged, run_ts)
     else:
         rows = capture.stage_source(spec, source, wm, run_ts)
-        staged = rows.filter("_captured")
         m = scd2.merge_source_frame(spec, latest, rows, run_ts, cfg.revive_unchanged)
         m = m.persist(StorageLevel.MEMORY_AND_DISK)
         new_latest, retired = scd2.split_source(m)
-    written = wh.stage(f"dim_{entity}_latest", new_latest)
+    # Counted while the table is written: no run but this one begins versions at run_ts.
+    seen = Observation()
+    lost = F.col(spec.key).isNull() & (F.col("effective_from") == lit_ts(run_ts))
+    wh.stage(f"dim_{entity}_latest", new_latest.observe(seen, F.max("effective_from").alias("top"), F.count_if(lost).alias("lost")))
     wh.append(f"dim_{entity}_archive", retired)
     m.unpersist()
-    mx = written.agg(F.max("effective_from").alias("m")).first().m
-    wh.set_watermark(f"dim_{entity}_hist", mx.strftime(FMT) if mx else None)
-    return staged.filter(F.col(spec.key).isNull()).count()
+    top = seen.get["top"]
+    wh.set_watermark(f"dim_{entity}_hist", top.strftime(FMT) if top else None)
+    return seen.get["lost"]
 
 
 def _load_fact_files(spark, wh: Warehouse, name: str, drops: list[Drop], reader, stager,
@@ -153,10 +156,11 @@ def _load_fact_files(spark, wh: Warehouse, name: str, drops: list[Drop], reader,
     kept = kept.drop("_batch")
     if partition_by:
         kept = kept.withColumn("trans_day", F.to_date(date_col))
-    written = wh.append(name, kept, partition_by)
-    mx = written.agg(F.max(date_col).alias("m")).first().m
-    if mx is not None and (cfg.compat_null_reset or mx.strftime(FMT) > wm):
-        wh.set_watermark(name, mx.strftime(FMT))
+    seen = Observation()
+    wh.append(name, kept.observe(seen, F.max(date_col).alias("top")), partition_by)
+    top = seen.get["top"]
+    if top is not None and (cfg.compat_null_reset or top.strftime(FMT) > wm):
+        wh.set_watermark(name, top.strftime(FMT))
 
 
 def _replay_with_reset(wh: Warehouse, name: str, typed: DataFrame, date_col: str, n: int, wm: str) -> DataFrame:

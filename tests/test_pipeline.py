@@ -127,3 +127,26 @@ def test_compact_keeps_rows(spark, tmp_path):
     after = sorted(tuple(r) for r in w.read_append("fact_transactions", TRANSACTIONS_SCHEMA).collect())
     assert after == before and len(after) == 2
     assert w.watermark("fact_transactions") == "2024-01-02 10:00:00"
+
+
+def test_watermarks_and_lost_keys_come_from_the_write(spark, tmp_path, monkeypatch):
+    """No written table is read again for its maximum, nor the staged rows for a count."""
+    drop = tmp_path / "drops"
+    drop.mkdir()
+    _drop(str(drop), "transactions_01012024.txt", _tx_file([
+        ("t1", "2024-01-01 10:00:00", "1", "C1", "pay", "SUCCESS", "T1"),
+        ("t2", "2024-01-01 11:00:00", "1", "C1", "pay", "SUCCESS", "T1")]))
+    sources = _sources(spark)
+    acc = sources["accounts"]
+    sources["accounts"] = acc.unionByName(acc.withColumn("account", F.lit(" ")))
+    sources["cards"] = sources["cards"].limit(0)
+    for name in ("count", "first"):
+        monkeypatch.setattr(type(acc), name, lambda self: 1 / 0)
+    wh = "file:" + str(tmp_path / "wh")
+    out = [run_pipeline(spark, PipelineConfig(warehouse=wh, drop_dir=str(drop), sources=sources), f"2024-01-0{d} 23:00:00") for d in (1, 2)]
+    monkeypatch.undo()
+    # The row without a key has no update date, so each run captures it anew and counts its own.
+    assert [o["null_keys"] for o in out] == [{"accounts": 1}] * 2
+    assert out[1]["watermarks"] == {"dim_accounts_hist": "2024-01-02 23:00:00", "dim_clients_hist": "2024-01-01 23:00:02",
+                                    "fact_transactions": "2024-01-01 11:00:00"}
+    assert Warehouse(spark, wh).read("dim_accounts_latest").count() == 3
