@@ -201,6 +201,22 @@ WHERE t.{k} IS NULL OR (t.{k} IS NOT NULL AND {_diff(CL)})"""
                      f"(SELECT count(*) FROM {ent}_h2 WHERE effective_to = {END} AND deleted_flg = 'n') "
                      f"AS open_rows, (SELECT count(*) FROM {ent}_h2 WHERE deleted_flg = 'y') AS deleted_rows")
     out["reconcile_counts"] = with_chain(prefixed) + "\nUNION ALL\n".join(parts)
+    # Source and open versions matched by key, column by column.
+    found = []
+    for ent in ("clients", "accounts", "cards", "terminals"):
+        spec = DIMENSIONS[ent]
+        cols = ", ".join(_clean(spec, t, s) for t, s in SOURCE_COLUMNS[ent].items())
+        found.append(f"""
+SELECT '{ent}' AS entity, coalesce(s.{spec.key}, t.{spec.key}) AS key,
+       CASE WHEN t.{spec.key} IS NULL THEN 'missing' WHEN s.{spec.key} IS NULL THEN 'extra' ELSE 'differs' END AS kind
+FROM (SELECT {cols} FROM {ent}_src2) s
+FULL JOIN (SELECT * FROM {ent}_h1 WHERE effective_to = {END} AND deleted_flg = 'n') t ON s.{spec.key} = t.{spec.key}
+WHERE coalesce(s.{spec.key}, t.{spec.key}) IS NOT NULL
+  AND (s.{spec.key} IS NULL OR t.{spec.key} IS NULL OR {_diff(spec)})""")
+    out["reconcile_content"] = with_chain(prefixed) + "\nUNION ALL\n".join(found)
+    out["scd2_vanished_keys"] = with_chain(chain(CL, 2)) + (
+        f"SELECT {k} FROM h0 WHERE effective_to = {END} AND deleted_flg = 'n' AND {k} IS NOT NULL "
+        f"AND {k} NOT IN (SELECT k FROM keys1 WHERE k IS NOT NULL)")
     wm_parts = []
     for ent in ("clients", "accounts", "cards", "terminals"):
         wm_parts.append(f"SELECT 'dwh' AS table_db, 'dim_{ent}_hist' AS table_name, "

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions import epoch_ts
-from ledgerwatch.operators import capture, scd2
+from ledgerwatch.operators import capture, reconcile, scd2
 from ledgerwatch.plans.queries import query
 from ledgerwatch.plans.store import has_data_files, path_exists
 from ledgerwatch.session import scratch_dir
@@ -159,12 +159,12 @@ def q_hist_ordered(spark, sf_dir):
     return scd2.ordered(spec, scd2.render(spec, replay(spark, sf_dir, "terminals", 3, lazy_last=True)))
 
 
-def _final_histories(spark, sf_dir):
+def _final_histories(spark, sf_dir, days: int = 3):
     """The four entities are independent: replay them as concurrent jobs."""
     from concurrent.futures import ThreadPoolExecutor
     ents = ("clients", "accounts", "cards", "terminals")
     with ThreadPoolExecutor(max_workers=len(ents)) as pool:
-        hists = list(pool.map(lambda e: replay(spark, sf_dir, e, 3, lazy_last=True), ents))
+        hists = list(pool.map(lambda e: replay(spark, sf_dir, e, days, lazy_last=days == 3), ents))
     return dict(zip(ents, hists))
 
 
@@ -186,6 +186,30 @@ def q_reconcile_counts(spark, sf_dir):
     return out
 
 
+@query("reconcile_content")
+def q_reconcile_content(spark, sf_dir):
+    """A3 by content: the keys in which the open versions after two loads differ from the third snapshot."""
+    parts = []
+    for e, h in _final_histories(spark, sf_dir, days=2).items():
+        spec = DIMENSIONS[e]
+        src = capture.stage_source(spec, tt.source_snapshot(spark, sf_dir, e, 2), epoch_ts(), tt.RUN_TS[2])
+        keys = reconcile.differing_keys(src, scd2.current_versions(h), spec.key, spec.tracked)
+        parts.append(keys.select(F.lit(e).alias("entity"), "key", "kind"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("scd2_vanished_keys")
+def q_scd2_vanished_keys(spark, sf_dir):
+    """J5 by key ranges: open keys that have left the source, read only in ranges whose key sums differ."""
+    h0 = replay(spark, sf_dir, "clients", 1)
+    keys = capture.source_keys(CL, tt.source_snapshot(spark, sf_dir, "clients", 1)).distinct()
+    found = reconcile.differing_keys(keys, scd2.current_versions(h0), CL.key, [])
+    return found.where("kind = 'extra'").select(F.col("key").alias(CL.key))
+
+
 @query("wm_advance_dim")
 def q_wm_advance_dim(spark, sf_dir):
     """K5/D6: dimension watermarks after the last snapshot."""
