@@ -294,7 +294,8 @@ def write_workbook_drops(df: DataFrame, folder: str, day_col: str, prefix: str,
 
     root = folder.rstrip("/")
     local = root[len("file:"):] if root.startswith("file:") else root
-    if "://" not in root:
+    # Spark writes a local path as file:/..., and the folder that a cluster names for its checkpoints is such a one.
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", root):
         if not re.fullmatch(r"local(\[[^\]]*\])?", df.sparkSession.sparkContext.master):
             raise ValueError(f"{root} is a path of one machine; name a shared folder with its scheme")
     day = F.date_format(day_col, "ddMMyyyy")
@@ -306,7 +307,7 @@ def write_workbook_drops(df: DataFrame, folder: str, day_col: str, prefix: str,
                .select("_d", "_book", *columns))
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        fs, base = pafs.FileSystem.from_uri(local if local.startswith("/") else root)
+        fs, base = pafs.FileSystem.from_uri("/" + local.lstrip("/") if local.startswith("/") else root)
         book = int(pdf["_book"].iloc[0])
         # The pattern takes one character after the digits of the date.
         suffix = "" if book == 0 else chr(96 + book) if book <= 26 else chr(0x4E00 + book)

@@ -13,7 +13,7 @@ from ledgerwatch.operators import facts
 from ledgerwatch.plans import pipeline
 from ledgerwatch.plans.pipeline import PipelineConfig, run_pipeline
 from ledgerwatch.plans.store import Warehouse
-from ledgerwatch.schemas import RAW_BLACKLIST_COLUMNS, RAW_TRANSACTION_COLUMNS, TRANSACTIONS_SCHEMA
+from ledgerwatch.schemas import PATTERN_BLACKLIST, RAW_BLACKLIST_COLUMNS, RAW_TRANSACTION_COLUMNS, TRANSACTIONS_SCHEMA
 from ledgerwatch.sources import files
 from ledgerwatch.streaming.drops import run_available
 
@@ -165,3 +165,18 @@ def test_a_blacklist_of_date_cells_loads_and_days_split(spark, tmp_path):
     rows = Warehouse(spark, wh).read_append("fact_blacklist", BLACKLIST_SCHEMA).collect()
     # All books of a day carry one date; the strict watermark keeps the first book's rows, as it does with any two files of a day.
     assert rows and {r.entry_dt for r in rows} == {dt.datetime(2024, 1, 5)}
+
+
+def test_workbooks_go_to_the_folder_that_a_cluster_names(spark, tmp_path, monkeypatch):
+    """On a cluster a shared folder comes as file:/..., with one slash; a bare path is one machine's."""
+    raw = spark.range(5).select(F.lit("2024-01-05 00:00:00").alias("date"), F.concat(F.lit("N"), F.col("id").cast("string")).alias("passport"),
+                                F.lit("2024-01-05").cast("date").alias("_day"))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://one:7077")
+    for scheme in ("file:", "file://"):
+        drop = tmp_path / f"drops{len(scheme)}"
+        drop.mkdir()
+        files.write_workbook_drops(raw, scheme + str(drop), "_day", "passport_blacklist", RAW_BLACKLIST_COLUMNS)
+        paths = [r.path for r in files.discover(spark, str(drop), PATTERN_BLACKLIST).select("path").collect()]
+        assert sorted(r.passport for r in files.read_workbooks(spark, paths, RAW_BLACKLIST_COLUMNS).collect()) == [f"N{i}" for i in range(5)]
+    with pytest.raises(ValueError, match="one machine"):
+        files.write_workbook_drops(raw, str(tmp_path), "_day", "passport_blacklist", RAW_BLACKLIST_COLUMNS)
