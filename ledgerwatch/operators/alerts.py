@@ -34,6 +34,8 @@ from ledgerwatch.session import scratch_dir
 KEY = ("card_num", "event_dt", "passport", "fio", "phone", "event_type")
 #: Rows of touched cards or hours, or of keys of one dimension, that are broadcast at most (about 10 MB).
 TOUCHED_BROADCAST = 200_000
+#: Facts there are per touched hour, at most, for whole cards to be recomputed instead of very many hours.
+MOST_FACTS = 4
 #: Days that are listed in a partition filter at most.
 MOST_DAYS = 1000
 
@@ -100,36 +102,42 @@ class Touched:
     """Cards whose alerts may differ: in all hours (``cards``) or in some (``hours``)."""
     cards: _Keys
     hours: _Keys
+    near: _Keys  # the hours, and those beside them
     days: list | None
     scratch: list[str] = field(default_factory=list)
 
+    def _rows(self, df: DataFrame, date: str, hours: _Keys) -> DataFrame:
+        """Rows of touched cards and of ``hours``, by equal keys and in one pass: a card of many
+        touched hours is not compared hour by hour."""
+        if not hours.count:
+            return _in(df, "card_num", self.cards) if self.cards.count else df.limit(0)
+        h = hours.hinted().select(F.col("card_num").alias("_card"), F.col("hour").alias("_hour"), F.lit(True).alias("_some"))
+        on = (df["card_num"] == F.col("_card")) & (hour_of(date) == F.col("_hour"))
+        if not self.cards.count:
+            return df.join(h, on, "left_semi")
+        c = self.cards.hinted().select(F.col("card_num").alias("_whole"), F.lit(True).alias("_all"))
+        # Both hold a key once, so the joins mark rows and add none.
+        return (df.join(c, df["card_num"] == F.col("_whole"), "left").join(h, on, "left").where("_all or _some").select(*df.columns))
+
     def facts(self, tx: DataFrame) -> DataFrame:
         """Facts that decide the touched alerts: those of touched cards, and of hours an hour around."""
-        parts = []
-        if self.hours.count:
-            some = tx
-            if self.days is not None and "trans_day" in tx.columns:
-                some = tx.where(F.col("trans_day").isin(self.days))
-            h = self.hours.hinted().select(F.col("card_num").alias("_card"), F.col("hour").alias("_hour"))
-            parts.append(some.join(h, (some["card_num"] == F.col("_card")) & (F.abs(hour_of("trans_date") - F.col("_hour")) <= 1), "left_semi"))
-        if self.cards.count:
-            parts.append(_in(tx, "card_num", self.cards))
-        return reduce(DataFrame.unionByName, parts) if parts else tx.limit(0)
+        if not self.cards.count and self.days is not None and "trans_day" in tx.columns:
+            tx = tx.where(F.col("trans_day").isin(self.days))
+        return self._rows(tx, "trans_date", self.near)
 
     def rows(self, df: DataFrame, date: str) -> DataFrame:
         """Rows of touched cards and hours."""
-        every = self.hours.df.select(F.col("card_num").alias("_card"), F.col("hour").alias("_hour")).unionByName(
-            self.cards.df.select(F.col("card_num").alias("_card"), F.lit(None).cast("long").alias("_hour")))
-        if self.hours.count + self.cards.count <= TOUCHED_BROADCAST:
-            every = F.broadcast(every)
-        return df.join(every, (df["card_num"] == F.col("_card")) & (F.col("_hour").isNull() | (F.col("_hour") == hour_of(date))), "left_semi")
+        return self._rows(df, date, self.hours)
 
     def persons(self, inp: dict) -> dict:
-        """The dimension rows that the touched cards lead to."""
+        """The dimension rows that the touched cards lead to; all, if the cards are too many to be
+        broadcast: looking for the rows would move the dimensions as often as joining them does."""
         def keys(df: DataFrame, column: str, name: str) -> _Keys:
             return _Keys(df.select(column).where(F.col(column).isNotNull()).distinct(), name, self.scratch)
 
         own = _Keys(self.hours.df.select("card_num").unionByName(self.cards.df.select("card_num")).distinct(), "touched-own", self.scratch)
+        if own.count > TOUCHED_BROADCAST:
+            return {}
         cards = _in(inp["cards"], "card_num", own)
         accounts = _in(inp["accounts"], "account_num", keys(cards, "account_num", "touched-accounts"))
         clients = _in(inp["clients"], "client_id", keys(accounts, "client", "touched-clients"))
@@ -165,16 +173,21 @@ def touched(inp: dict, gained: Changes, scratch: list[str]) -> Touched:
     hours = spark.createDataFrame([], "card_num string, hour long")
     if facts:
         seen = reduce(DataFrame.unionByName, facts).where("card_num is not null and trans_date is not null")
-        seen = seen.select("card_num", hour_of("trans_date").alias("hour")).distinct()
-        around = seen.select("card_num", F.explode(F.array(*[F.col("hour") + k for k in (-1, 0, 1)])).alias("hour")).distinct()
-        c = cards.hinted().select(F.col("card_num").alias("_card"))
-        hours = around.join(c, around["card_num"] == F.col("_card"), "left_anti")
+        seen = _Keys(seen.select("card_num", hour_of("trans_date").alias("hour")).distinct(), "seen-hours", scratch)
+        if seen.count > TOUCHED_BROADCAST and inp["transactions"].count() <= MOST_FACTS * seen.count:
+            whole.append(seen.df.select("card_num"))
+            cards = keys(reduce(DataFrame.unionByName, whole), "card_num", "touched-cards")
+        else:
+            around = seen.df.select("card_num", F.explode(F.array(*[F.col("hour") + k for k in (-1, 0, 1)])).alias("hour")).distinct()
+            c = cards.hinted().select(F.col("card_num").alias("_card"))
+            hours = around.join(c, around["card_num"] == F.col("_card"), "left_anti")
     hours = _Keys(hours, "touched-hours", scratch)
-    # The days of the hours and of the hours beside them; a number of days at most reaches the driver.
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor((F.col("hour") + F.col("k")) / 24).cast("int"))
-    near = hours.df.select("hour").distinct().withColumn("k", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-    days = [r[0] for r in near.select(day.alias("d")).distinct().limit(MOST_DAYS + 1).collect()]
-    return Touched(cards, hours, sorted(days) if len(days) <= MOST_DAYS else None, scratch)
+    beside = F.explode(F.array(*[F.col("hour") + k for k in (-1, 0, 1)])).alias("hour")
+    near = _Keys(hours.df.select("card_num", beside).distinct(), "touched-near", scratch)
+    # The days of these hours; a number of days at most reaches the driver.
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("hour") / 24).cast("int"))
+    days = [r[0] for r in near.df.select(day.alias("d")).distinct().limit(MOST_DAYS + 1).collect()]
+    return Touched(cards, hours, near, sorted(days) if len(days) <= MOST_DAYS else None, scratch)
 
 
 def changes(inp: dict, gained: Changes, stored: DataFrame, scratch: list[str]) -> DataFrame:

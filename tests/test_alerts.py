@@ -102,6 +102,26 @@ def test_facts_of_untouched_cards_are_dropped_where_they_are_read(spark, tmp_pat
     assert "LeftSemi" in whole and "CartesianProduct" not in whole
 
 
+@pytest.mark.parametrize("bound, most", [(200_000, 100), (0, 100), (0, 0)])
+def test_touched_hours_are_met_by_equal_keys(spark, tmp_path, monkeypatch, bound, most):
+    """A card of many touched hours is not compared hour by hour; very many hours go as whole cards."""
+    monkeypatch.setattr(alerts, "TOUCHED_BROADCAST", bound)
+    monkeypatch.setattr(alerts, "MOST_FACTS", most, raising=False)
+    t = {**BASE, "transactions": [tx(i, 700 * i, f"C{i % 3}", f"T{i % 5 + 1}") for i in range(300)] + [tx(900, 5, None, "T1")]}
+    later = {900, *range(0, 300, 4)}
+    first = {**t, "transactions": [r for i, r in enumerate(t["transactions"]) if i not in later]}
+    added = [r for i, r in enumerate(t["transactions"]) if i in later]
+    old = stored(spark, alerts.counted(frames(spark, first)), tmp_path / "a")
+    inp = frames(spark, t)
+    gained = alerts.Changes(transactions=spark.createDataFrame(added, SCHEMAS["transactions"]), cards=inp["cards"].where("card_num = 'C2'"))
+    at = alerts.touched(inp, gained, [])
+    assert (at.hours.count == 0) == (bound == 0 and most > 0) and at.cards.count
+    for df, date in ((at.facts(inp["transactions"]), "trans_date"), (at.rows(old, "event_dt"), "event_dt")):
+        assert "abs(" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.where("card_num is null").isEmpty()
+    assert bag(alerts.expanded(old.unionByName(alerts.changes(inp, gained, old, [])), REPORT)) == model(t)["report"]
+
+
 def _row(i, when, card="C1", terminal="T1"):
     return f"t{i};{when};1;{card};pay;SUCCESS;{terminal}\n"
 
