@@ -23,7 +23,7 @@ and score as rows; further columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -37,6 +37,8 @@ from ledgerwatch.llm.common import fold, prepare, table, written
 
 BLOCK_BYTES = 16 << 20
 RANGE_BYTES = 16 << 20
+#: Tokens of a block that are scored at a time, and keys in one batch that is sent, about.
+SLICE_TOKENS, SENT_KEYS = 1 << 18, 1 << 19
 #: Buckets of the context's count: unseen, 1, 2-3, 4-7, ...
 BUCKETS = 40
 
@@ -51,19 +53,33 @@ class Block(NamedTuple):
     bounds: np.ndarray   # tokens of document d are bounds[d]:bounds[d + 1]
 
 
-def block_of(texts: list[tuple[np.ndarray, np.ndarray]]) -> Block:
-    """The token block of (bytes, offsets) chunks."""
-    tokens, sizes = [], []
+def block_of(texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Block:
+    """The token block of (bytes, offsets) chunks of whole documents."""
+    tokens, bigrams, sizes = [], [], []
     for raw, offsets in texts:
         w = tk.split(raw, offsets)
-        tokens.append(np.insert(w.hash, w.bounds[1:], _END))
-        sizes.append(np.diff(w.bounds) + 1)
-    t = np.concatenate(tokens)
+        t = np.insert(w.hash, w.bounds[1:], _END)
+        size = np.diff(w.bounds) + 1
+        context = np.empty_like(t)
+        context[1:] = t[:-1]
+        context[np.cumsum(size) - size] = _BEGIN
+        tokens.append(t)
+        bigrams.append(tk.mix(tk.mix(context) + t * _ODD))
+        sizes.append(size)
     bounds = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
-    context = np.empty_like(t)
-    context[1:] = t[:-1]
-    context[bounds[:-1]] = _BEGIN
-    return Block(t, tk.mix(tk.mix(context) + t * _ODD), bounds)
+    return Block(np.concatenate(tokens), np.concatenate(bigrams), bounds)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and the place of each key among them (numpy's unique with half the memory)."""
+    order = np.argsort(keys)
+    u = keys[order]
+    head = np.ones(len(u), bool)
+    np.not_equal(u[1:], u[:-1], out=head[1:])
+    u = u[head]
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(head, dtype=np.int32) - np.int32(1)
+    return u, place
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -104,18 +120,23 @@ def _ask(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.array([(i << 64) // parts for i in range(1, parts)], dtype=np.uint64)
         for no, held in _blocks(batches):
-            block = block_of([x[1:] for b in held for x in tk.chunks(b, "text")])
+            block = block_of(x[1:] for b in held for x in tk.chunks(b, "text"))
             train = np.concatenate([b.column("train").to_numpy(zero_copy_only=False) for b in held]).astype(bool)
-            weight = np.repeat(train, np.diff(block.bounds)).astype(np.float64)
-            rows = []
-            for kind, keys in ((0, block.tokens), (1, block.bigrams)):
-                u, inverse = np.unique(keys, return_inverse=True)
-                n = np.bincount(inverse, weights=weight, minlength=len(u)).astype(np.uint32)
-                cuts = [0, *np.searchsorted(u, edges).tolist(), len(u)]
-                rows += [(p, kind, no, _pack(u[a:b]), n[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+            trained = np.repeat(train, np.diff(block.bounds))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                                             names=["part", "kind", "block", "keys", "counts"])
+            todo = [block.bigrams, block.tokens]
+            del block
+            for kind in (0, 1):
+                u, inverse = _distinct(todo.pop())
+                n = np.bincount(inverse[trained], minlength=len(u)).astype(np.uint32)
+                del inverse
+                cuts = [0, *np.searchsorted(u, edges).tolist(), len(u)]
+                some = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+                step = max(1, len(some) * SENT_KEYS // len(u))
+                for i in range(0, len(some), step):
+                    rows = [(p, kind, no, _pack(u[a:b]), n[a:b].tobytes()) for p, a, b in some[i:i + step]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                                     names=["part", "kind", "block", "keys", "counts"])
 
     return run
 
@@ -124,7 +145,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted by part and kind: the whole corpus' counts of each block's keys, in its order."""
     def flush(key: tuple[int, int], rows: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
         keys = [_unpack(r[1]) for r in rows]
-        u, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        u, inverse = _distinct(np.concatenate(keys))
         counts = np.bincount(inverse, weights=np.concatenate([np.frombuffer(r[2], np.uint32) for r in rows]), minlength=len(u))
         ends = np.cumsum([len(k) for k in keys])
         out = []
@@ -177,28 +198,43 @@ class Counts(NamedTuple):
     context: np.ndarray
     bigram: np.ndarray
 
+    def slices(self) -> Iterator[Counts]:
+        """Some documents at a time, their counts as doubles."""
+        at = 0
+        while at < len(self.ids):
+            stop = max(at + 1, int(np.searchsorted(self.bounds, self.bounds[at] + SLICE_TOKENS, "right")) - 1)
+            a, b = self.bounds[at], self.bounds[stop]
+            yield Counts(self.ids[at:stop], self.train[at:stop], self.bounds[at:stop + 1] - a,
+                         *(x[a:b].astype(np.float64) for x in (self.token, self.context, self.bigram)))
+            at = stop
+
 
 def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[Counts]:
     """Blocks whose answers came first, then their documents."""
     now, answers, held = None, ([], []), []
 
     def flush() -> Counts:
-        block = block_of([x[1:] for b in held for x in tk.chunks(b, "text")])
-        found = []
-        for keys, got in ((block.tokens, answers[0]), (block.bigrams, answers[1])):
-            u, inverse = np.unique(keys, return_inverse=True)
-            counts = np.concatenate([np.frombuffer(c[:-1], np.uint64) if len(c) % 4 else np.frombuffer(c, np.uint32).astype(np.uint64) for c, _ in got])
+        block = block_of(x[1:] for b in held for x in tk.chunks(b, "text"))
+        bounds, todo, found = block.bounds, [block.bigrams, block.tokens], []
+        del block
+        for got in answers:
+            u, inverse = _distinct(todo.pop())
+            counts = np.concatenate([np.frombuffer(c[:-1], np.uint64) if len(c) % 4 else np.frombuffer(c, np.uint32) for c, _ in got])
             if len(counts) != len(u) or sum(a for _, a in got) % (1 << 64) != int(u.sum(dtype=np.uint64)):
                 raise RuntimeError("the documents were scanned in another order than before; the input has changed")
-            found.append(counts.astype(np.float64)[inverse])
+            del u
+            found.append(counts[inverse])
+            del inverse
+            got.clear()
         token, bigram = found
         context = np.empty_like(token)
         context[1:] = token[:-1]
         # As many documents begin as end.
-        context[block.bounds[:-1]] = token[block.bounds[1:] - 1]
+        context[bounds[:-1]] = token[bounds[1:] - 1]
         ids = [x for b in held for x in b.column("doc_id").to_pylist()]
         train = np.concatenate([b.column("train").to_numpy(zero_copy_only=False) for b in held]).astype(bool)
-        return Counts(ids, train, block.bounds, token, context, bigram)
+        held.clear()
+        return Counts(ids, train, bounds, token, context, bigram)
 
     for batch in batches:
         if not batch.num_rows:
@@ -228,16 +264,21 @@ def _cells(total: float):
     """Held-out statistics: training tokens by bucket and by the size of their deleted
     estimates (quarter octaves), with the sums of the estimates. The cells are a bounded set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _resolved(batches):
-            own = np.repeat(c.train, np.diff(c.bounds))
-            context, two, one = c.context[own] - 1, c.bigram[own] - 1, c.token[own] - 1
-            p2 = np.where(context > 0, two / np.maximum(context, 1), 0.0)
-            p1 = one / max(total - 1, 1.0)
-            size = lambda p: np.where(p > 0, 1 + np.minimum(-4 * np.log2(np.where(p > 0, p, 1)), 250).astype(np.int64), 0)
-            cell, inverse = np.unique((bucket(context) * 256 + size(p2)) * 256 + size(p1), return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell), pa.array(np.bincount(inverse, minlength=len(cell)).astype(np.int64)), pa.array(np.bincount(inverse, weights=p2, minlength=len(cell))),
-                 pa.array(np.bincount(inverse, weights=p1, minlength=len(cell)))], names=["cell", "n", "p2", "p1"])
+        size = lambda p: np.where(p > 0, 1 + np.minimum(-4 * np.log2(np.where(p > 0, p, 1)), 250).astype(np.int64), 0)
+        for block in _resolved(batches):
+            n = np.zeros(BUCKETS << 16, np.int64)
+            s2, s1 = np.zeros(len(n)), np.zeros(len(n))
+            for c in block.slices():
+                own = np.repeat(c.train, np.diff(c.bounds))
+                context, two, one = c.context[own] - 1, c.bigram[own] - 1, c.token[own] - 1
+                p2 = np.where(context > 0, two / np.maximum(context, 1), 0.0)
+                p1 = one / max(total - 1, 1.0)
+                cell = (bucket(context) * 256 + size(p2)) * 256 + size(p1)
+                np.add.at(n, cell, 1)
+                np.add.at(s2, cell, p2)
+                np.add.at(s1, cell, p1)
+            cell = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n[cell]), pa.array(s2[cell]), pa.array(s1[cell])], names=["cell", "n", "p2", "p1"])
 
     return run
 
@@ -266,7 +307,7 @@ def weights(cells: list[tuple[int, int, float, float]], types: int, steps: int =
 
 def _scores(total: float, types: int, mix: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _resolved(batches):
+        for c in (x for block in _resolved(batches) for x in block.slices()):
             at = c.bounds[:-1]
             w = mix[bucket(c.context)]
             p2 = np.where(c.context > 0, c.bigram / np.maximum(c.context, 1), 0.0)

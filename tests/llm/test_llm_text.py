@@ -3,11 +3,14 @@
 import math
 import random
 import re
+import tracemalloc
+import types
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from pyspark.sql import functions as F
@@ -280,6 +283,39 @@ def test_language_model_probabilities_sum_to_one(spark):
         assert math.isclose(sum(m[0] * two[c, x] / one[c] + m[1] * one[x] / n + m[2] / (v + 1) for x in types) + m[2] / (v + 1), 1.0)
 
 
+def test_language_model_memory_of_a_block(monkeypatch):
+    """A block's tasks hold a bounded number of bytes a token."""
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    rng = np.random.default_rng(1)
+    known = np.array([f"w{i}" for i in range(30000)])
+    words = [" ".join(known[(rng.random(250) ** 3 * 30000).astype(int)]) for _ in range(6000)]
+    n = sum(len(x.split()) + 1 for x in words)
+
+    def documents():
+        for i in range(0, len(words), 500):
+            yield pa.RecordBatch.from_arrays([pa.array(range(i, i + 500)), pa.array(words[i:i + 500]), pa.array([j % 7 != 2 for j in range(i, i + 500)])],
+                                             names=["doc_id", "text", "train"])
+
+    def peak(batches):
+        tracemalloc.start()
+        out = [b for b in batches]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most / n
+
+    asked, first = peak(lm._ask(4)(documents()))
+    asked = pa.Table.from_batches(asked).sort_by([("part", "ascending"), ("kind", "ascending"), ("block", "ascending")]).combine_chunks().to_batches()
+    answers = pa.Table.from_batches(list(lm._answer(iter(asked))))
+    total, kinds = answers.filter(pa.compute.equal(answers["kind"], 0)), ["block", "kind", "part", "counts", "asked"]
+    met = pa.concat_tables([answers.select(kinds), pa.Table.from_batches(list(lm._tagged(documents()))).cast(answers.select(kinds).schema)])
+    met = met.sort_by([("block", "ascending"), ("kind", "ascending"), ("part", "ascending")]).combine_chunks().to_batches()
+    tokens, known = float(pa.compute.sum(total["total"]).as_py()), pa.compute.sum(total["types"]).as_py()
+    cells, second = peak(lm._cells(tokens)(iter(met)))
+    scores, third = peak(lm._scores(tokens, known, np.full((lm.BUCKETS, 3), 1 / 3))(iter(met)))
+    assert sum(pa.compute.sum(b["n"]).as_py() for b in cells) == tokens and sum(b.num_rows for b in scores) == len(words)
+    assert first < 85 and second < 85 and third < 65
+
+
 def test_language_model_blocks_and_empty(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = {r.doc_id: r for r in lm.score(docs, lm.fold("doc_id", 7) == 2).collect()}
