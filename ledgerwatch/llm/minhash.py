@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import tokens as tk
-from ledgerwatch.llm.common import prepare, table, written
+from ledgerwatch.llm.common import prepare, table, told_apart, written
 from ledgerwatch.llm.components import components
 
 SHINGLE = 5
@@ -167,7 +167,7 @@ def _full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([_key(s)[0] for s in sets], pa.int64()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], names=["k", "items"])
 
-    texts = documents.select(F.col("doc_id").alias("id"), "text")
+    texts, _ = told_apart(documents.select(F.col("doc_id").alias("id"), "text"), F.col("id"), wanted, F.col("doc_id"), "wanted-bits")
     found = texts.join(wanted.select("doc_id").distinct(), F.col("id").eqNullSafe(F.col("doc_id")), "left_semi")
     return (found.select("text").mapInArrow(run, "k long, items binary")
             .join(wanted.select("k"), "k", "left_semi").dropDuplicates(["k"]))
@@ -347,7 +347,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         # The caller's columns travel in one struct, so no name of theirs meets one of these.
-        held = rows.select(F.struct("*").alias("doc"), row.alias("own")).join(keys, F.col("own").eqNullSafe(F.col("row")), how)
+        some, others = told_apart(rows.select(F.struct("*").alias("doc"), row.alias("own")), F.col("own"), keys, F.col("row"), "row-bits")
+        held = some.join(keys, F.col("own").eqNullSafe(F.col("row")), how)
+        if how == "left_anti":
+            held = held.unionByName(others)
         return held.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
     rest = among(docs, dropped, "left_anti")
