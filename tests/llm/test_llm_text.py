@@ -450,6 +450,24 @@ def test_pieces_of_several_documents_are_no_passage(spark):
         assert got == {10: (30, 90), 11: (30, 100), 12: (30, 160)}
 
 
+def test_only_chains_that_may_be_in_a_passage_are_aligned():
+    """A line of 15 words and 34 words beside it are too short; a chain of 16 words, or two that touch, may do."""
+    assert passages.hopeful([]) == set()
+    assert passages.hopeful([[(100, 7, 15)]]) == set()
+    assert passages.hopeful([[(100, 7, 16)]]) == {0}
+    assert passages.hopeful([[(100, 7, 15)], [(400, 400, 15)], [(150, 900, 15)]]) == {0, 2}
+    assert passages.hopeful([[(100, 7, 15)], [(155, 900, 15)]]) == set()
+    assert passages.hopeful([[(100, 7, 6), (104, 30, 6)]]) == {0}  # long in the other document only
+    rows = []
+    for other, words in ((2, 15), (3, 16), (4, 6)):
+        pos = np.arange(words - 4)
+        rows.append([np.full(len(pos), 1), pos + 90, np.full(len(pos), other), pos + 40])
+    links = [np.concatenate(c).astype(np.int64) for c in zip(*rows, strict=True)]
+    batches = list(passages._dealt(np.zeros(len(links[0]), np.int64), 1, links))
+    got = [r for b in passages._chain(iter(batches)) for r in b.to_pylist()]
+    assert [(r["doc"], r["other"], r["start"], r["end"]) for r in got] == [(1, 3, 90, 106)]
+
+
 # Toxicity
 
 def test_index_finds_the_nearest_by_exact_cosine():
