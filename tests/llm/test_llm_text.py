@@ -468,6 +468,34 @@ def test_only_chains_that_may_be_in_a_passage_are_aligned():
     assert [(r["doc"], r["other"], r["start"], r["end"]) for r in got] == [(1, 3, 90, 106)]
 
 
+def test_orders_windows_and_bounds_of_passages():
+    """Faster forms against plain ones: sorts, window minima, extensions, least edits."""
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 50, 2000):
+        key, doc, pos = rng.integers(0, n + 1, n).astype(np.uint64), rng.integers(0, 5, n), rng.integers(0, 9, n)
+        order = passages.order_of(key, doc, pos)
+        want = np.lexsort((pos, doc, key))
+        assert sorted(order.tolist()) == list(range(n))
+        assert all(np.array_equal(c[order], c[want]) for c in (key, doc, pos))
+        assert np.array_equal(passages.order_of(key, np.arange(n)), np.argsort(key, kind="stable"))
+    for w in (1, 2, 3, 16, 31):
+        for high in (3, 10**6):
+            v = rng.integers(0, high, 200).astype(np.uint64)
+            assert passages.least_of(v, w).tolist() == [i + int(v[i:i + w].argmin()) for i in range(200 - w + 1)]
+    for _ in range(300):
+        x, y = (rng.integers(0, 2, rng.integers(0, 20)).astype(np.uint32) for _ in range(2))
+        n, at = min(len(x), len(y)), 0
+        while True:
+            while at < n and x[at] == y[at]:
+                at += 1
+            if at + 4 > n or (x[at + 1:at + 4] != y[at + 1:at + 4]).any():
+                break
+            at += 4
+        assert passages.extension(x, y) == at
+        x, y = (rng.integers(0, 12, rng.integers(0, 20)).astype(np.uint32) for _ in range(2))
+        assert passages.edits_at_least(x, y) <= passages.distance(x, y)
+
+
 # Toxicity
 
 def test_index_finds_the_nearest_by_exact_cosine():
