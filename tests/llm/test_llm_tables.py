@@ -141,7 +141,7 @@ def test_a_long_conversation_is_one_node_until_others_part_or_end(spark):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS FROM read_parquet('{SF}/{t}.parquet')")
     want = con.sql(registry.ORACLE[name]).df()
     got = registry.QUERIES[name](spark, SF).toPandas()
