@@ -450,6 +450,78 @@ def test_pieces_of_several_documents_are_no_passage(spark):
         assert got == {10: (30, 90), 11: (30, 100), 12: (30, 160)}
 
 
+def test_passages_whose_seeds_are_all_frequent(spark):
+    """Every run of 20 words of a shared passage stands in documents before both of its two and between them."""
+    rng = random.Random(14)
+    own = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    p, rows = own(55), []
+    for i in range(36):
+        for j in (0, 100, 2000, 2100, 2200):
+            rows.append((j + i, " ".join(own(8) + p[i:i + 20] + own(8))))
+    rows += [(1000, " ".join(own(15) + p + own(15))), (3000, " ".join(own(5) + p + own(15)))]
+    for parts in (1, 5):
+        got = {r.doc_id: (r.start_word, r.end_word, r.other_id) for r in passages.shared_passages(docs_of(spark, rows).repartition(parts)).collect()}
+        assert got == {1000: (15, 70, 3000), 3000: (5, 60, 1000)}
+
+
+def test_all_equal_runs_of_a_passage_length_are_found(spark):
+    """Against brute force, on texts cut from a few sources so that most seeds are in many documents; ids repeat."""
+    rng = random.Random(15)
+    sources = [[f"w{rng.randrange(300)}" for _ in range(130)] for _ in range(3)] + [["a", "b"] * 65]
+    rows = []
+    for d in range(150):
+        text = []
+        for _ in range(rng.randrange(1, 4)):
+            s, n = rng.choice(sources), rng.choice((12, 25, 49, 50, 51, 70))
+            i = rng.randrange(len(s) - n)
+            text += s[i:i + n] + [f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(12))]
+        rows.append((d - d % 40 // 39, " ".join(text)))
+    rows += [(-1, None), (-2, ""), (None, rows[0][1]), (-3, " ".join(rows[5][1].split()[:49]))]
+    n, runs = passages.MIN_WORDS, {}
+    for d, text in rows:
+        words = (text or "").split()
+        for i in range(len(words) - n + 1):
+            runs.setdefault(tuple(words[i:i + n]), []).append((d, i))
+    want = {x for at in runs.values() if len({d for d, _ in at} - {None}) > 1 for x in at if x[0] is not None}
+    assert len(want) > 1000
+    for parts in (1, 6):
+        got: dict[int, list] = {}
+        for r in passages.shared_passages(docs_of(spark, rows).repartition(parts)).collect():
+            got.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+        assert [x for x in want if not any(a <= x[1] and x[1] + n <= b for a, b in got.get(x[0], []))] == []
+
+
+def test_equal_windows_are_grouped_part_by_part():
+    """Of equal windows those of two documents leave a part, the others are passages at once; none is lost or made up."""
+    rng = np.random.default_rng(16)
+    key, doc, start = rng.integers(0, 40, 400).astype(np.uint64), rng.integers(-5, 30, 400), rng.integers(0, 10**4, 400)
+    docs_at = {k: sorted(set(doc[key == k].tolist())) for k in key.tolist()}
+    want = [min(set(docs_at[k]) - {d}, default=d) for k, d in zip(key.tolist(), doc.tolist(), strict=True)]
+    order = passages.order_of(key, doc, start)
+    assert passages._shared(key[order], doc[order]).tolist() == np.array(want)[order].tolist()
+    key = tk.mix(key)
+    text = " ".join(rng.choice(["a", "b", "c"], 400))
+    whole = tk.split(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+    for long in ([], [0], [7, 9, 200], [380], [-0, 350, 399]):
+        got = passages.windows_of(whole, np.array(long, np.int32))
+        n = passages.MIN_WORDS
+        assert got[2].tolist() == [i for i in range(400 - n + 1) if any(i <= q <= i + n - passages.LONG for q in long)]
+        for i, k, by in zip(got[2].tolist(), got[0], got[1], strict=True):  # wherever it stands
+            own = tk.Words(whole.hash[i:i + n], whole.start, whole.end, np.array([0, n]))
+            assert [c.tolist() for c in passages.windows_of(own, np.array([3], np.int32))] == [[int(k)], [int(by)], [0]]
+    rows = []
+    for part in range(3):
+        at = np.arange(part, 400, 3)
+        rows += [r for b in passages._windows([(key[at], key[at] + np.uint64(1), start[at], doc[at])], 64) for r in b.to_pylist()]
+    rows.sort(key=lambda r: (r["pair"], r["no"], r["side"]))
+    batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema([(c, {"words": pa.binary(), "runs": pa.binary()}.get(c, pa.int64())) for c in passages._CUT]))
+    got = [r for b in passages._align(iter([batch])) for r in b.to_pylist()]
+    assert any(r["side"] for r in rows) and all(r["other_id"] != r["doc_id"] for r in got)
+    for d, i, o in zip(doc.tolist(), start.tolist(), want, strict=True):
+        inside = any(r["doc_id"] == d and r["start_word"] <= i and i + passages.MIN_WORDS <= r["end_word"] for r in got)
+        assert inside or o == d
+
+
 def test_only_chains_that_may_be_in_a_passage_are_aligned():
     """A line of 15 words and 34 words beside it are too short; a chain of 16 words, or two that touch, may do."""
     assert passages.hopeful([]) == set()
