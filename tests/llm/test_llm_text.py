@@ -568,6 +568,92 @@ def test_orders_windows_and_bounds_of_passages():
         assert passages.edits_at_least(x, y) <= passages.distance(x, y)
 
 
+def test_orders_and_extensions_of_many():
+    """Packed sorts against lexicographic ones, also beyond 62 bits; many extensions and differences at once against single ones."""
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 500):
+        for high in (3, 10**6, 1 << 40, 1 << 61, (1 << 63) - 1):
+            cols = [rng.integers(-high, high, n) for _ in range(2)] + [rng.integers(0, 4, n), rng.integers(0, high, n)]
+            order, want = passages.packed_order(*cols), np.lexsort(cols[::-1])
+            assert all(np.array_equal(c[order], c[want]) for c in cols)
+    words = rng.integers(0, 2, 2000).astype(np.uint32)
+    words[500:900] = words[1100:1500]
+    a, b = np.append(rng.integers(300, 900, 200), [500, 510]), np.append(rng.integers(1000, 1400, 200), [1100, 1110])
+    n = np.append(rng.integers(0, 200, 200), [400, 390])
+    plain = [(words[i:i + k], words[j:j + k]) for i, j, k in zip(a.tolist(), b.tolist(), n.tolist(), strict=True)]
+    assert passages.extensions(words, a, b, n, 1).tolist() == [passages.extension(x, y) for x, y in plain]
+    assert passages._differing(words, a, b, n).tolist() == [int((x != y).sum()) for x, y in plain]
+    plain = [(words[i - k + 1:i + 1][::-1], words[j - k + 1:j + 1][::-1]) for i, j, k in zip(a.tolist(), b.tolist(), n.tolist(), strict=True)]
+    assert passages.extensions(words, a, b, n, -1).tolist() == [passages.extension(x, y) for x, y in plain]
+
+
+def test_chains_are_judged_together_as_one_by_one():
+    """Segments of chains with edits of all kinds, against pieces that are extended and aligned one by one."""
+    rng = np.random.default_rng(17)
+    ints = {"pair": pa.int64(), "no": pa.int32(), "side": pa.int32(), "doc": pa.int64(), "start": pa.int32(), "end": pa.int32(), "low": pa.int32()}
+    rows, want = [], []
+    for pair in range(400):
+        x = rng.integers(0, 1 << 31, int(rng.integers(30, 160)))
+        y, i = [], 0
+        rate = (0.02, 0.1, 0.2, 0.3)[pair % 4]
+        while i < len(x):
+            kind = rng.random() / rate
+            y += [x[i]] if kind > 1 else rng.integers(0, 1 << 31, int(rng.integers(1, 4 if pair % 3 else 30))).tolist() if kind > 0.3 else []
+            i += 1 if kind > 0.6 or kind < 0.3 else 0
+        if pair % 5 == 0:  # a second place of the same words
+            y += rng.integers(0, 1 << 31, int(rng.integers(0, 60))).tolist() + x[:40].tolist()
+        x, y = x.astype(np.uint32), np.array(y, np.uint32)
+        at: dict[tuple, list[int]] = {}
+        for j in range(len(y) - passages.K + 1):
+            at.setdefault(tuple(y[j:j + passages.K].tolist()), []).append(j)
+        links = [(i, j) for i in range(len(x) - passages.K + 1) for j in at.get(tuple(x[i:i + passages.K].tolist()), [])]
+        if not links:
+            continue
+        own = []
+        runs = passages.runs_of(np.zeros(len(links), np.int64), *np.array(links).T)[1:]
+        for no, c in enumerate(passages.chained(*(v.tolist() for v in runs))):
+            (i, j, _), (i2, j2, n) = c[0], c[-1]
+            low, low2 = max(0, i - passages.MARGIN), max(0, j - passages.MARGIN)
+            u, v = x[low:i2 + n + passages.MARGIN], y[low2:j2 + n + passages.MARGIN]
+            for side, d, lo, w, r in ((0, 900, low, u, np.array(c, np.int32).tobytes()), (1, pair, low2, v, None)):
+                rows.append({"pair": pair, "no": no, "side": side, "doc": d, "start": 0, "end": 0, "low": lo, "words": w.tobytes(), "runs": r})
+            near = [(p - low, q - low2, k) for p, q, k in c]
+            back = [passages.extension(u[:p][::-1], v[:q][::-1]) for p, q, _ in near]
+            on = [passages.extension(u[p + k:], v[q + k:]) for p, q, k in near]
+            for s, e, s2, e2 in passages.pieces(u, v, near, back, on, [False] * len(near), False):
+                own += [(900, low + s, low + e, pair), (pair, low2 + s2, low2 + e2, 900)]
+        want += [r for r in passages._merge(own) if r[2] - r[1] >= passages.MIN_WORDS]
+    schema = pa.schema([(c, ints.get(c, pa.binary())) for c in passages._CUT])
+    assert 200 < len(want) < 800
+    for size in (len(rows), 7):  # pairs that lie in several batches, too
+        batches = pa.Table.from_pylist(rows, schema=schema).to_batches(max_chunksize=size)
+        got = [tuple(r.values()) for b in passages._align(iter(batches)) for r in b.to_pylist()]
+        assert passages._merge(got) == passages._merge(want)
+
+
+def test_a_text_moves_once_however_many_segments_it_has(spark):
+    """Texts meet their segments without a copy for each; of rows that repeat an id, the longest text has the segments."""
+    rng = random.Random(18)
+    own = lambda n: [str(rng.randrange(10**6)) for _ in range(n)]
+    parts = [own(60) for _ in range(12)]
+    rows = [(1, " ".join(w for p in parts for w in p + own(100)))] + [(10 + i, " ".join(own(20) + p)) for i, p in enumerate(parts)]
+    rows += [(1, " ".join(own(30))), (1, None)]
+    found = passages.shared_passages(docs_of(spark, rows).repartition(3))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.doc_id, r.start_word, r.end_word) for r in found.collect())
+    assert got == [(1, 160 * i, 160 * i + 60) for i in range(12)] + [(10 + i, 20, 80) for i in range(12)]
+    taken = []
+    h = tk.split(np.frombuffer(rows[0][1].encode(), np.uint8), np.array([0, len(rows[0][1])])).hash.astype(np.uint32)
+    cells = [{"doc": 1, "rank": 1, "size": -len(rows[0][1]), "text": rows[0][1]}] + [
+        {"doc": 1, "rank": 2, "size": 0, "pair": i, "no": 0, "side": 0, "start": 160 * i, "end": 160 * i + 60, "runs": b"x"} for i in range(12)]
+    schema = pa.schema([("doc", pa.int64()), ("rank", pa.int32()), ("size", pa.int32()), ("text", pa.string()), ("pair", pa.int64()), ("no", pa.int32()), ("side", pa.int32()),
+                        ("start", pa.int32()), ("end", pa.int32()), ("runs", pa.binary())])
+    for b in passages._slices(iter(pa.Table.from_pylist(cells, schema=schema).to_batches(max_chunksize=5)), 64):
+        taken += b.to_pylist()
+    assert [(r["pair"], r["low"], r["runs"]) for r in taken] == [(i, max(0, 160 * i - passages.MARGIN), b"x") for i in range(12)]
+    assert all(r["words"] == h[r["low"]:r["end"] + passages.MARGIN].tobytes() for r in taken)
+
+
 # Toxicity
 
 def test_index_finds_the_nearest_by_exact_cosine():
